@@ -30,64 +30,68 @@ def int_from_number(number: Column) -> Column:
 
 
 # --- VARIANT ---------------------------------------------------------------
+#
+# Each takes a VARIANT and the path of a field in it. An absent field, and one
+# on a path that leads through something other than an object, reads as null.
 
 def field(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 
 
-def kind(value: Column) -> Column:
+def kind(value: Column, path: str = "$") -> Column:
     """STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID, OBJECT<..>, ARRAY<..>."""
-    return F.schema_of_variant(value)
+    return F.schema_of_variant(value if path == "$" else field(value, path))
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
+def _string(value: Column, path: str) -> Column:
+    return F.try_variant_get(value, path, "string")
 
 
-def is_array(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("ARRAY"), F.lit(False))
+def is_object(value: Column, path: str = "$") -> Column:
+    return F.coalesce(kind(value, path).startswith("OBJECT"), F.lit(False))
 
 
-def string_of(value: Column) -> Column:
-    """The value if it is a JSON string, else null."""
-    return F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+def is_array(value: Column, path: str = "$") -> Column:
+    return F.coalesce(kind(value, path).startswith("ARRAY"), F.lit(False))
 
 
-def text_of(value: Column) -> Column:
+def string_of(value: Column, path: str = "$") -> Column:
+    """The field if it is a JSON string, else null."""
+    return F.when(kind(value, path) == "STRING", _string(value, path))
+
+
+def text_of(value: Column, path: str = "$") -> Column:
     """Any scalar as text, JSON null as null, objects and arrays as JSON text."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(kind(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    text = _string(value, path)
+    return F.when(kind(value, path) == "BOOLEAN", F.initcap(text)).otherwise(text)
 
 
-def elements_of(value: Column) -> Column:
+def elements_of(value: Column, path: str = "$") -> Column:
     """array<variant> of a JSON array, else null."""
-    return F.when(is_array(value), F.try_variant_get(value, "$", "array<variant>"))
+    return F.try_variant_get(value, path, "array<variant>")
 
 
-def id_text(value: Column) -> Column:
+def id_text(value: Column, path: str = "$") -> Column:
     """Id as text, so that 42 and "42" are one id; null and "" give null."""
-    text = text_of(value)
-    return F.when(text != "", text)
+    return F.nullif(text_of(value, path), F.lit(""))
 
 
-def truthy_text(value: Column) -> Column:
+def truthy_text(value: Column, path: str = "$") -> Column:
     """As id_text, but zero, false and empty containers also give null."""
-    text = text_of(value)
-    empty = text.isin("", "[]", "{}") | (
-        (kind(value) != "STRING") & (text.isin("False") | (text.try_cast("double") == 0)))
-    return F.when(~F.coalesce(empty, F.lit(False)), text)
+    text = _string(value, path)
+    nothing = text.isin("false", "[]", "{}") | (text.try_cast("double") == 0)
+    return (F.when(kind(value, path) == "STRING", F.nullif(text, F.lit("")))
+            .when(~F.coalesce(nothing, F.lit(False)), F.regexp_replace(text, "^true$", "True")))
 
 
-def int_of(value: Column) -> Column:
+def int_of(value: Column, path: str = "$") -> Column:
     """Number (truncated), whole-number text or boolean -> bigint, else null."""
-    return (F.when(kind(value) == "STRING", int_from_text(F.try_variant_get(value, "$", "string")))
-            .when(~is_object(value) & ~is_array(value), F.try_variant_get(value, "$", "bigint")))
+    return (F.when(kind(value, path) == "STRING", int_from_text(_string(value, path)))
+            .otherwise(F.try_variant_get(value, path, "bigint")))
 
 
-def bool_of(value: Column) -> Column:
+def bool_of(value: Column, path: str = "$") -> Column:
     """Boolean, the numbers 1 and 0, or the usual words -> boolean, else null."""
-    number = F.try_variant_get(value, "$", "double")
-    return (F.when(kind(value) == "STRING", bool_from_text(F.try_variant_get(value, "$", "string")))
-            .when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-            .when(is_object(value) | is_array(value), F.lit(None).cast("boolean"))
+    number = F.try_variant_get(value, path, "double")
+    return (F.when(kind(value, path) == "STRING", bool_from_text(_string(value, path)))
             .when(number == 1, True).when(number == 0, False))

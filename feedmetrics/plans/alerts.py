@@ -13,9 +13,9 @@ def alert_messages(events: DataFrame) -> DataFrame:
     Other columns are kept. A message that is no JSON object is carried as
     ``{"raw_message": text}``; empty ones and malformed records are skipped.
     """
-    records = casts.elements_of(casts.field(F.col("event"), "$.Records"))
+    records = casts.elements_of(F.col("event"), "$.Records")
     others = [name for name in events.columns if name != "event"]
-    raw = casts.truthy_text(casts.field(casts.field(F.col("record"), "$.Sns"), "$.Message"))
+    raw = casts.truthy_text(F.col("record"), "$.Sns.Message")
     parsed = F.try_parse_json("raw")
     plain = F.parse_json(F.to_json(F.struct(F.col("raw").alias("raw_message"))))
     return (events.select(*others, F.posexplode(records).alias("record_pos", "record"))
@@ -23,17 +23,12 @@ def alert_messages(events: DataFrame) -> DataFrame:
             .select(*others, "record_pos", F.when(casts.is_object(parsed), parsed).otherwise(plain).alias("message")))
 
 
-def _or_default(value: Column, default: str) -> Column:
-    """Text of a field; the default only when the field is absent."""
-    return F.when(F.is_variant_null(value), F.lit("None")).otherwise(
-        F.coalesce(casts.text_of(value), F.lit(default)))
-
-
 def alert_text(message: Column) -> Column:
-    """The text of an alert, with a stand-in for every absent field."""
+    """The text of an alert, with a stand-in for every absent field (not for a null one)."""
 
     def of(path: str, default: str) -> Column:
-        return _or_default(casts.field(message, path), default)
+        return F.when(casts.kind(message, path) == "VOID", F.lit("None")).otherwise(
+            F.coalesce(casts.text_of(message, path), F.lit(default)))
 
     # The message format and its stand-ins.
     return F.format_string(

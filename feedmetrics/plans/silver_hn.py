@@ -21,30 +21,25 @@ from feedmetrics.schemas import HN, SILVER
 
 def flatten(items: DataFrame) -> DataFrame:
     """(seq, item_type, item VARIANT) -> typed columns; non-object items are dropped."""
-    item = F.col("item")
-
-    def of(name: str) -> Column:
-        return casts.field(item, f"$.{name}")
-
-    tags = F.transform(casts.elements_of(of("_tags")), casts.text_of)
-    is_comment = F.col("post_type") == "comment"
+    item, is_comment = F.col("item"), F.col("post_type") == "comment"
+    tags = F.transform(casts.elements_of(item, "$._tags"), lambda tag: casts.text_of(tag))
     return (items.where(casts.is_object(item))
-            .withColumn("post_type", classify.hn_post_type(F.col("item_type"), tags))
+            .withColumn("tags", tags)
+            .withColumn("post_type", classify.hn_post_type(F.col("item_type"), F.col("tags")))
             .select(
-                "seq", "post_type",
-                blank_to_null(strip(casts.truthy_text(of("objectID")))).alias("source_post_id"),
+                "seq", "post_type", "tags",
+                blank_to_null(strip(casts.truthy_text(item, "$.objectID"))).alias("source_post_id"),
                 # a blank but present author stays as '' and has no id
-                strip(casts.truthy_text(of("author"))).alias("author"),
-                casts.int_of(of("created_at_i")).alias("created_epoch"),
-                F.when(is_comment, casts.text_of(of("story_title")))
-                 .otherwise(casts.text_of(of("title"))).alias("title_html"),
-                F.when(is_comment, casts.text_of(of("comment_text")))
-                 .otherwise(casts.text_of(of("story_text"))).alias("content_html"),
-                casts.text_of(of("url")).alias("url"),
-                casts.int_of(of("points")).alias("score"),
-                tags.alias("tags"),
-                blank_to_null(strip(casts.text_of(of("parent_id")))).alias("parent_id"),
-                blank_to_null(strip(casts.text_of(of("story_id")))).alias("story_id")))
+                strip(casts.truthy_text(item, "$.author")).alias("author"),
+                casts.int_of(item, "$.created_at_i").alias("created_epoch"),
+                F.when(is_comment, casts.text_of(item, "$.story_title"))
+                 .otherwise(casts.text_of(item, "$.title")).alias("title_html"),
+                F.when(is_comment, casts.text_of(item, "$.comment_text"))
+                 .otherwise(casts.text_of(item, "$.story_text")).alias("content_html"),
+                casts.text_of(item, "$.url").alias("url"),
+                casts.int_of(item, "$.points").alias("score"),
+                blank_to_null(strip(casts.text_of(item, "$.parent_id"))).alias("parent_id"),
+                blank_to_null(strip(casts.text_of(item, "$.story_id"))).alias("story_id")))
 
 
 def _lineage(data_date: str, ingest_date: str, processed_at: str) -> dict[str, Column]:

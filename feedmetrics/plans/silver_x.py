@@ -20,49 +20,43 @@ from feedmetrics.schemas import SILVER, X
 
 def _hashtag_texts(entry: Column) -> Column:
     """A hashtag entry as (text, alternative): a string, or its tag and text fields."""
-    text = F.when(casts.is_object(entry), casts.string_of(casts.field(entry, "$.tag"))) \
-            .otherwise(casts.string_of(entry))
-    alternative = F.when(casts.is_object(entry), casts.string_of(casts.field(entry, "$.text")))
-    return F.struct(text.alias("text"), alternative.alias("alternative"))
+    text = F.coalesce(casts.string_of(entry), casts.string_of(entry, "$.tag"))
+    return F.struct(text.alias("text"), casts.string_of(entry, "$.text").alias("alternative"))
 
 
 def _reference(entry: Column) -> Column:
-    target = F.coalesce(casts.id_text(casts.field(entry, "$.id")),
-                        casts.id_text(casts.field(entry, "$.tweet_id")))
-    return F.struct(casts.string_of(casts.field(entry, "$.type")).alias("type"),
-                    target.alias("target"))
+    target = F.coalesce(casts.id_text(entry, "$.id"), casts.id_text(entry, "$.tweet_id"))
+    return F.struct(casts.string_of(entry, "$.type").alias("type"), target.alias("target"))
 
 
 def flatten(items: DataFrame) -> DataFrame:
     """(seq, item VARIANT) -> typed columns; non-object items are dropped."""
     item = F.col("item")
 
-    def of(path: str) -> Column:
-        return casts.field(item, f"$.{path}")
-
     def hashtags(path: str) -> Column:
-        entries = F.transform(casts.elements_of(of(path)), _hashtag_texts)
+        entries = F.transform(casts.elements_of(item, path), _hashtag_texts)
         return F.coalesce(entries, F.array().cast("array<struct<text:string,alternative:string>>"))
 
-    references = F.filter(casts.elements_of(of("referenced_tweets")), casts.is_object)
+    references = F.filter(casts.elements_of(item, "$.referenced_tweets"), lambda entry: casts.is_object(entry))
     return items.where(casts.is_object(item)).select(
         "seq",
-        casts.id_text(of("id")).alias("source_post_id"),
-        casts.is_object(of("user")).alias("has_user"),
-        casts.id_text(of("user.id")).alias("source_user_id"),
-        casts.string_of(of("user.username")).alias("username_raw"),
-        casts.string_of(of("user.display_name")).alias("display_name_raw"),
-        casts.string_of(of("user.name")).alias("name_raw"),
-        casts.int_of(of("user.followers_count")).alias("followers_count"),
-        casts.int_of(of("user.following_count")).alias("following_count"),
-        F.coalesce(casts.bool_of(of("user.verified")), casts.bool_of(of("user.is_verified"))).alias("is_verified"),
-        casts.string_of(of("user.created_at")).alias("user_created_raw"),
-        casts.string_of(of("created_at")).alias("created_raw"),
-        casts.string_of(of("text")).alias("text_raw"),
-        casts.string_of(of("lang")).alias("lang_raw"),
-        casts.string_of(of("source")).alias("source_raw"),
-        *(casts.int_of(of(f"metrics.{name}")).alias(name) for name in ENGAGEMENT_FIELDS),
-        F.concat(hashtags("hashtags"), hashtags("entities.hashtags")).alias("hashtags"),
+        casts.id_text(item, "$.id").alias("source_post_id"),
+        casts.is_object(item, "$.user").alias("has_user"),
+        casts.id_text(item, "$.user.id").alias("source_user_id"),
+        casts.string_of(item, "$.user.username").alias("username_raw"),
+        casts.string_of(item, "$.user.display_name").alias("display_name_raw"),
+        casts.string_of(item, "$.user.name").alias("name_raw"),
+        casts.int_of(item, "$.user.followers_count").alias("followers_count"),
+        casts.int_of(item, "$.user.following_count").alias("following_count"),
+        F.coalesce(casts.bool_of(item, "$.user.verified"),
+                   casts.bool_of(item, "$.user.is_verified")).alias("is_verified"),
+        casts.string_of(item, "$.user.created_at").alias("user_created_raw"),
+        casts.string_of(item, "$.created_at").alias("created_raw"),
+        casts.string_of(item, "$.text").alias("text_raw"),
+        casts.string_of(item, "$.lang").alias("lang_raw"),
+        casts.string_of(item, "$.source").alias("source_raw"),
+        *(casts.int_of(item, f"$.metrics.{name}").alias(name) for name in ENGAGEMENT_FIELDS),
+        F.concat(hashtags("$.hashtags"), hashtags("$.entities.hashtags")).alias("hashtags"),
         F.transform(references, _reference).alias("references"))
 
 

@@ -30,7 +30,7 @@ def _type_rank(item_type: Column) -> Column:
 
 def add_item_type(items: DataFrame) -> DataFrame:
     """Adds item_type by marker tag; null for items no type claims."""
-    tags = F.transform(casts.elements_of(casts.field(F.col("item"), "$._tags")), casts.string_of)
+    tags = F.transform(casts.elements_of(F.col("item"), "$._tags"), lambda tag: casts.string_of(tag))
     return items.withColumn("item_type", classify.hn_type_from_tags(tags))
 
 
@@ -104,8 +104,8 @@ def read_hn(spark: SparkSession, root: str, ingest_date: str, data_date: str,
 def payload_items(document: Column) -> Column:
     """The posts of a payload: itself, its tweets or its data; else an empty array."""
     return F.coalesce(casts.elements_of(document),
-                      casts.elements_of(casts.field(document, "$.tweets")),
-                      casts.elements_of(casts.field(document, "$.data")),
+                      casts.elements_of(document, "$.tweets"),
+                      casts.elements_of(document, "$.data"),
                       F.array().cast("array<variant>"))
 
 
@@ -147,7 +147,7 @@ def land_x_dataset(spark: SparkSession, source: str, root: str, ingest_date: str
     records = (json_arrays.scan_documents(spark, [f"{source}/tweets.json"])
                .select(F.col("seq.pos").alias("pos"), "item"))
     metadata = json_arrays.documents(spark, [f"{source}/metadata.json"])
-    declared = F.when(casts.is_object(F.col("document")), casts.field(F.col("document"), "$.record_count"))
+    declared = casts.field(F.col("document"), "$.record_count")
     checks = metadata.select(casts.is_object(F.col("document")).alias("is_object"),
                              F.coalesce(~F.is_variant_null(declared), F.lit(False)).alias("declares"),
                              F.try_variant_get(declared, "$", "bigint").alias("declared")).first()

@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedmetrics.functions import casts
 from feedmetrics.operators.dedup import keep_first_identified
+from feedmetrics.sources import files
 
 MAX_PAGES = 5
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:
-    """window_start, page, response VARIANT of ``window_start=/page=/*.json``.
+    """window_start, page, response VARIANT of landed pages.
 
-    A response that is not JSON counts as an invalid page, not as an error.
+    Either one file per page under ``window_start=/page=/``, where a response
+    that is not JSON counts as an invalid page, or JSON lines holding the
+    three fields.
     """
+    if not any(name.startswith("window_start=") for name in files.child_folders(spark, root)):
+        return spark.read.schema("window_start bigint, page bigint, response variant").json(root)
     path = F.col("_metadata.file_path")
 
     def from_path(name: str):
@@ -38,10 +43,10 @@ def usable_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     if not 0 < max_pages <= 62:
         raise ValueError(f"max_pages must be between 1 and 62, got {max_pages}")
     response = F.col("response")
-    last = casts.field(response, "$.nbPages")
-    last_page = F.when(casts.kind(last).isin("BIGINT", "BOOLEAN"), F.try_variant_get(last, "$", "bigint"))
+    counted = casts.kind(response, "$.nbPages").isin("BIGINT", "BOOLEAN")
+    last_page = F.when(counted, F.try_variant_get(response, "$.nbPages", "bigint"))
     read = (pages.where(F.col("page").between(0, max_pages - 1))
-            .withColumn("hits", F.when(casts.is_object(response), casts.elements_of(casts.field(response, "$.hits"))))
+            .withColumn("hits", casts.elements_of(response, "$.hits"))
             .withColumn("good", F.coalesce(F.size("hits") > 0, F.lit(False)))
             .withColumn("goes_on", F.col("good") & ~F.coalesce(F.col("page") >= last_page - 1, F.lit(False)))
             .drop("response"))
@@ -63,5 +68,5 @@ def collect_items(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     hits = (usable_pages(pages, max_pages)
             .select("window_start", "page", F.posexplode("hits").alias("pos", "item"))
             .where(casts.is_object(F.col("item")))
-            .withColumn("_id", casts.truthy_text(casts.field(F.col("item"), "$.objectID"))))
+            .withColumn("_id", casts.truthy_text(F.col("item"), "$.objectID")))
     return keep_first_identified(hits, "_id", ["window_start", "page", "pos"]).drop("_id")
