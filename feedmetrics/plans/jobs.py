@@ -99,9 +99,9 @@ def _staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
 def _write_silver(spark: SparkSession, tables: dict[str, DataFrame], platform: str, silver_root: str,
                   run: tuple[str, str, str], mode: str) -> dict:
     """Writes the four tables and, from the counts of those writes, their quality report."""
-    written = lake.write_silver(tables, silver_root, mode)
+    written = lake.write_silver(spark, tables, silver_root, mode)
     report = report_of_writes(spark, written, platform, *run)
-    written |= lake.write_silver({"data_quality_report": report}, silver_root, mode)
+    written |= lake.write_silver(spark, {"data_quality_report": report}, silver_root, mode)
     return {"layer": "silver", "platform": platform, "data_date": run[0], "ingest_date": run[1],
             "processed_at_utc": run[2], "tables": written, "data_quality_report": report}
 
@@ -148,7 +148,7 @@ def hn_gold(spark: SparkSession, silver_root: str, gold_root: str, data_date: st
     silver = {name: on_day(lake.read_silver(spark, silver_root, name, HN, pruned), data_date)
               for name in ("users", "posts", "data_quality_report")}
     processed_at = processed_at or stamp()
-    written = lake.write_gold(gold.hn_gold_tables(silver, processed_at), gold_root, HN, mode)
+    written = lake.write_gold(spark, gold.hn_gold_tables(silver, processed_at), gold_root, HN, mode)
     return {"layer": "gold", "platform": HN, "data_date": data_date, "processed_at_utc": processed_at,
             "tables": written}
 
@@ -162,7 +162,7 @@ def x_gold(spark: SparkSession, silver_root: str, gold_root: str, data_date: str
     silver = {name: on_day(lake.read_silver(spark, silver_root, name, X), data_date)
               for name in ("users", "posts", "post_tags", "data_quality_report")}
     processed_at = processed_at or stamp()
-    written = lake.write_gold(gold.x_gold_tables(silver, processed_at), gold_root, X, mode)
+    written = lake.write_gold(spark, gold.x_gold_tables(silver, processed_at), gold_root, X, mode)
     return {"layer": "gold", "platform": X, "data_date": data_date, "processed_at_utc": processed_at,
             "tables": written}
 

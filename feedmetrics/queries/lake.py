@@ -97,7 +97,7 @@ def bronze_manifest(spark, sf):
 @query("silver_roundtrip", sql.HN_POSTS)
 def silver_roundtrip(spark, sf):
     root = scratch_dir(spark, "silver")
-    lake.write_silver({"posts": feeds.hn_posts(spark, sf)}, root)
+    lake.write_silver(spark, {"posts": feeds.hn_posts(spark, sf)}, root)
     return lake.read_silver(spark, root, "posts", HN)
 
 
@@ -112,7 +112,7 @@ def silver_unknown_partition(spark, sf):
     posts = feeds.hn_posts(spark, sf).withColumns({
         "year": F.when(kind != "story", F.col("year")),
         "month": F.when(kind.isin("story", "ask"), "").otherwise(F.col("month"))})
-    lake.write_silver({"posts": posts}, root)
+    lake.write_silver(spark, {"posts": posts}, root)
     return (lake.read_silver(spark, root, "posts", HN).groupBy("year", "month", "day")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -126,30 +126,30 @@ def silver_write_modes(spark, sf):
     root = scratch_dir(spark, "silver")
     posts = feeds.hn_posts(spark, sf).withColumn("title", feeds.choose(
         F.col("post_type"), {kind: name for name, kind in feeds.ITEM_TYPE.items()}))
-    lake.write_silver({"posts": posts}, root, "overwrite")
-    lake.write_silver({"posts": posts.where("day = '15'").withColumn("title", F.lit("replaced"))}, root)
-    lake.write_silver({"posts": posts.where("day = '20'")}, root, "append")
+    lake.write_silver(spark, {"posts": posts}, root, "overwrite")
+    lake.write_silver(spark, {"posts": posts.where("day = '15'").withColumn("title", F.lit("replaced"))}, root)
+    lake.write_silver(spark, {"posts": posts.where("day = '20'")}, root, "append")
     return lake.read_silver(spark, root, "posts", HN).groupBy("data_date", "title").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("silver_day_scan", f"SELECT * FROM ({sql.HN_POSTS}) WHERE data_date = '2024-01-15'")
 def silver_day_scan(spark, sf):
     root = scratch_dir(spark, "silver")
-    lake.write_silver({"posts": feeds.hn_posts(spark, sf)}, root)
+    lake.write_silver(spark, {"posts": feeds.hn_posts(spark, sf)}, root)
     return lake.read_silver(spark, root, "posts", HN, "2024-01-15")
 
 
 @query("silver_platform_scan", f"SELECT * FROM ({sql.X_USERS})")
 def silver_platform_scan(spark, sf):
     root = scratch_dir(spark, "silver")
-    lake.write_silver({"users": feeds.hn_users(spark, sf).unionByName(feeds.x_users(spark, sf))}, root)
+    lake.write_silver(spark, {"users": feeds.hn_users(spark, sf).unionByName(feeds.x_users(spark, sf))}, root)
     return lake.read_silver(spark, root, "users", X)
 
 
 @query("gold_roundtrip", sql.top_posts_by_score("job"))
 def gold_roundtrip(spark, sf):
     root = scratch_dir(spark, "gold")
-    lake.write_gold({"top_job_posts": gold.top_posts_by_score(feeds.hn_posts(spark, sf), "job", STAMP)}, root, HN)
+    lake.write_gold(spark, {"top_job_posts": gold.top_posts_by_score(feeds.hn_posts(spark, sf), "job", STAMP)}, root, HN)
     return lake.read_gold_all(spark, root, HN, "top_job_posts")
 
 
@@ -157,7 +157,7 @@ def gold_roundtrip(spark, sf):
 def gold_day_scan(spark, sf):
     root = scratch_dir(spark, "gold")
     followers = gold.top_users_by_followers(feeds.x_users(spark, sf), STAMP)
-    lake.write_gold({"top_users_by_followers": followers}, root, X)
+    lake.write_gold(spark, {"top_users_by_followers": followers}, root, X)
     return lake.read_gold(spark, root, X, "top_users_by_followers", "1998-07-01")[0]
 
 
@@ -374,7 +374,7 @@ def _loaded(spark, sf) -> tuple[str, DataFrame]:
     root, database = scratch_dir(spark, "job"), f"warehouse_{uuid.uuid4().hex[:12]}"
     silver = {"users": feeds.hn_users(spark, sf), "posts": feeds.hn_posts(spark, sf),
               "data_quality_report": spark.createDataFrame([], SILVER["data_quality_report"])}
-    lake.write_silver(silver, f"{root}/silver")
+    lake.write_silver(spark, silver, f"{root}/silver")
     jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", None, STAMP)
     report = jobs.load_warehouse(spark, f"{root}/gold", database, f"{root}/warehouse", data_date="2024-01-15")
     return database, report

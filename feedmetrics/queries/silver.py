@@ -69,9 +69,9 @@ def epoch_parts(spark, sf):
 SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN strftime(t, '%Y-%m-%dT%H:%M:%S') || '.500000Z'
   ELSE strftime(t, '%Y-%m-%dT%H:%M:%SZ') END AS created_at_utc, strftime(t, '%Y') AS year,
   strftime(t, '%m') AS month, strftime(t, '%d') AS day
-FROM (SELECT o_orderkey, o_orderpriority, {sql.CREATED_TS} AS t FROM orders)""")
+FROM (SELECT o_orderkey, o_orderpriority, {sql.created_ts('o_orderdate')} AS t FROM orders)""")
 def iso_timestamps(spark, sf):
-    created = times.iso_timestamp(feeds.created_text())
+    created = times.iso_timestamp(feeds.created_text(feeds.day_text("o_orderdate")))
     return table(spark, sf, "orders").select(
         "o_orderkey", times.utc_text(created).alias("created_at_utc"),
         *(column.alias(name) for name, column in times.part_columns(created).items()))

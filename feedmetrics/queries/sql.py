@@ -76,7 +76,7 @@ HN_USERS = _silver(
         "karma_score": "karma"})
 
 X_USERS = _silver(
-    "users", X, "(SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, o_custkey, floor(max(o_totalprice)) AS followers, "
+    "users", X, "(SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date, o_custkey, floor(max(o_totalprice)) AS followers, "
     "count(*) AS following, bool_or(o_orderpriority = '1-URGENT') AS verified FROM orders GROUP BY ALL) "
     "JOIN customer ON o_custkey = c_custkey", "date", {
         "user_id": x_user_id("CAST(o_custkey AS VARCHAR)"), "source_user_id": "o_custkey", "username": "c_name",
@@ -226,10 +226,14 @@ FROM (SELECT *, 'parent' AS relation_type FROM events WHERE event_type = 'error'
   UNION ALL SELECT *, 'story' FROM events WHERE event_type IN ('error', 'click'))"""
 
 # orders as posts: creation time in UTC, null where the text had no offset
-CREATED_TS = ("CASE o_orderpriority WHEN '1-URGENT' THEN o_orderdate - INTERVAL 2 HOUR "
-              "WHEN '2-HIGH' THEN o_orderdate + INTERVAL 10 HOUR + INTERVAL 20 MINUTE + INTERVAL 30500 MILLISECOND "
-              "WHEN '4-NOT SPECIFIED' THEN o_orderdate + INTERVAL 25 HOUR "
-              "WHEN '5-LOW' THEN o_orderdate + INTERVAL 8 HOUR + INTERVAL 14 MINUTE END")
+def created_ts(day_sql: str) -> str:
+    return (f"CASE o_orderpriority WHEN '1-URGENT' THEN {day_sql} - INTERVAL 2 HOUR "
+            f"WHEN '2-HIGH' THEN {day_sql} + INTERVAL 10 HOUR + INTERVAL 20 MINUTE + INTERVAL 30500 MILLISECOND "
+            f"WHEN '4-NOT SPECIFIED' THEN {day_sql} + INTERVAL 25 HOUR "
+            f"WHEN '5-LOW' THEN {day_sql} + INTERVAL 8 HOUR + INTERVAL 14 MINUTE END")
+
+
+CREATED_TS = created_ts("CAST(date_trunc('month', o_orderdate) AS TIMESTAMP)")
 _X_CREATED = ("CASE WHEN o_orderpriority = '2-HIGH' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.500000Z' "
               "ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END")
 _POST_KEY = "CAST(o_orderkey AS VARCHAR)"

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings the results depend on, plus adaptive execution. Sizes (shuffle
@@ -58,3 +61,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def run_together(spark: SparkSession, actions: Iterable[Callable], at_once: int = 8) -> list:
+    """Runs independent Spark actions at the same time; results in order.
+
+    Several tables of a run are small next to the cluster. One after the other
+    each would leave most executors idle; submitted together they share them.
+    The first error is raised once all have ended.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    return [future.result() for future in futures]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from py4j.protocol import Py4JJavaError
 
 from feedmetrics.functions.times import parse_day
 from feedmetrics.operators.quality import filled_cells
 from feedmetrics.schemas import GOLD, PLATFORM_FOLDERS, SILVER, gold_partitions, silver_partitions
+from feedmetrics.session import run_together
 from feedmetrics.sources import files
 
 UNKNOWN = "unknown"
@@ -57,19 +61,25 @@ def _observed(seen: Observation) -> dict:
         return {}
 
 
-def write_silver(tables: dict[str, DataFrame], root: str, mode: str = "overwrite_partitions") -> dict[str, dict]:
-    return {name: write_partitioned(df, f"{root.rstrip('/')}/{name}", silver_partitions(name), mode)
-            for name, df in tables.items()}
+def _write_tables(spark: SparkSession, tables: dict[str, DataFrame], path_of: Callable[[str], str],
+                  partitions_of: Callable[[str], list[str]], mode: str) -> dict[str, dict]:
+    writes = [partial(write_partitioned, df, path_of(name), partitions_of(name), mode)
+              for name, df in tables.items()]
+    return dict(zip(tables, run_together(spark, writes)))
+
+
+def write_silver(spark: SparkSession, tables: dict[str, DataFrame], root: str,
+                 mode: str = "overwrite_partitions") -> dict[str, dict]:
+    return _write_tables(spark, tables, lambda name: f"{root.rstrip('/')}/{name}", silver_partitions, mode)
 
 
 def gold_path(root: str, platform: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{PLATFORM_FOLDERS[platform]}/{dataset}"
 
 
-def write_gold(tables: dict[str, DataFrame], root: str, platform: str,
+def write_gold(spark: SparkSession, tables: dict[str, DataFrame], root: str, platform: str,
                mode: str = "overwrite_partitions") -> dict[str, dict]:
-    return {name: write_partitioned(df, gold_path(root, platform, name), gold_partitions(name), mode)
-            for name, df in tables.items()}
+    return _write_tables(spark, tables, lambda name: gold_path(root, platform, name), gold_partitions, mode)
 
 
 # --- scans -----------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,7 +12,7 @@ from feedmetrics.functions.times import parse_day
 from feedmetrics.operators.quality import conform
 from feedmetrics.schemas import (GOLD, PLATFORM_KEYS, WAREHOUSE, date_column, gold_partitions, warehouse_schema,
                                  warehouse_table)
-from feedmetrics.session import scratch_dir
+from feedmetrics.session import run_together, scratch_dir
 from feedmetrics.sources import lake
 
 
@@ -94,25 +94,28 @@ def load_all_or_nothing(spark: SparkSession, database: str, loads: list[Load], d
     """Loads every table, or leaves all of them as they were.
 
     Everything is staged and counted first, so a bad dataset stops the run
-    before any table changes. If publishing itself fails, the days already
-    replaced get their previous rows back from a copy taken at the start.
+    before any table changes. If publishing itself fails, all tables get the
+    day's previous rows back from a copy taken at the start.
     Readers may see some tables new and others old while this runs: Parquet
     tables have no transaction across tables.
     """
     stage = scratch_dir(spark, "load")
-    for load in loads:
-        schema = table_schema(load.table)
-        conform(load.rows, schema).write.parquet(f"{stage}/new/{load.table}")
+
+    def prepare(load: Load) -> None:
+        conform(load.rows, table_schema(load.table)).write.parquet(f"{stage}/new/{load.table}")
         day_rows(spark, database, load.table, day).write.parquet(f"{stage}/old/{load.table}")
         load.loaded = _staged(spark, stage, "new", load.table).count()
-    published = []
+
+    def publish(version: str) -> None:
+        run_together(spark, [
+            partial(replace_date, spark, database, load.table, _staged(spark, stage, version, load.table), day)
+            for load in loads])
+
+    run_together(spark, [partial(prepare, load) for load in loads])
     try:
-        for load in loads:
-            published.append(load)
-            replace_date(spark, database, load.table, _staged(spark, stage, "new", load.table), day)
+        publish("new")
     except Exception:
-        for load in published:
-            replace_date(spark, database, load.table, _staged(spark, stage, "old", load.table), day)
+        publish("old")
         raise
 
 
