@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmetrics.functions.text import strip
 
@@ -39,7 +39,10 @@ def field(value: Column, path: str) -> Column:
 
 
 def kind(value: Column, path: str = "$") -> Column:
-    """STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID, OBJECT<..>, ARRAY<..>."""
+    """STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID, ... of a scalar.
+
+    Containers are described in full, at the cost of walking all of them.
+    """
     return F.schema_of_variant(value if path == "$" else field(value, path))
 
 
@@ -48,11 +51,8 @@ def _string(value: Column, path: str) -> Column:
 
 
 def is_object(value: Column, path: str = "$") -> Column:
-    return F.coalesce(kind(value, path).startswith("OBJECT"), F.lit(False))
-
-
-def is_array(value: Column, path: str = "$") -> Column:
-    return F.coalesce(kind(value, path).startswith("ARRAY"), F.lit(False))
+    """Casts to a struct of one field, which only an object allows; cheaper than its schema."""
+    return F.try_variant_get(value, path, "struct<_:variant>").isNotNull()
 
 
 def string_of(value: Column, path: str = "$") -> Column:
@@ -66,6 +66,18 @@ def text_of(value: Column, path: str = "$") -> Column:
     return F.when(kind(value, path) == "BOOLEAN", F.initcap(text)).otherwise(text)
 
 
+def open_objects(df: DataFrame, column: str, layout: str) -> DataFrame:
+    """Replaces a VARIANT column by the fields of a struct type; rows that are no object go.
+
+    All fields come out of one pass over the value; one that does not fit its
+    type is null. The generator keeps the optimizer from copying that pass
+    into every later use of a field.
+    """
+    others = [name for name in df.columns if name != column]
+    opened = F.try_variant_get(F.col(column), "$", f"struct<{layout}>")
+    return df.select(*others, F.inline(F.array_compact(F.array(opened))))
+
+
 def elements_of(value: Column, path: str = "$") -> Column:
     """array<variant> of a JSON array, else null."""
     return F.try_variant_get(value, path, "array<variant>")

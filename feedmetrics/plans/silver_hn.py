@@ -19,27 +19,28 @@ from feedmetrics.operators.quality import conform
 from feedmetrics.schemas import HN, SILVER
 
 
+_ITEM = ("objectID variant, author variant, created_at_i variant, _tags array<string>, title variant, "
+         "story_text variant, story_title variant, comment_text variant, url variant, points variant, "
+         "parent_id variant, story_id variant")
+
+
 def flatten(items: DataFrame) -> DataFrame:
     """(seq, item_type, item VARIANT) -> typed columns; non-object items are dropped."""
-    item, is_comment = F.col("item"), F.col("post_type") == "comment"
-    tags = F.transform(casts.elements_of(item, "$._tags"), lambda tag: casts.text_of(tag))
-    return (items.where(casts.is_object(item))
-            .withColumn("tags", tags)
-            .withColumn("post_type", classify.hn_post_type(F.col("item_type"), F.col("tags")))
-            .select(
-                "seq", "post_type", "tags",
-                blank_to_null(strip(casts.truthy_text(item, "$.objectID"))).alias("source_post_id"),
-                # a blank but present author stays as '' and has no id
-                strip(casts.truthy_text(item, "$.author")).alias("author"),
-                casts.int_of(item, "$.created_at_i").alias("created_epoch"),
-                F.when(is_comment, casts.text_of(item, "$.story_title"))
-                 .otherwise(casts.text_of(item, "$.title")).alias("title_html"),
-                F.when(is_comment, casts.text_of(item, "$.comment_text"))
-                 .otherwise(casts.text_of(item, "$.story_text")).alias("content_html"),
-                casts.text_of(item, "$.url").alias("url"),
-                casts.int_of(item, "$.points").alias("score"),
-                blank_to_null(strip(casts.text_of(item, "$.parent_id"))).alias("parent_id"),
-                blank_to_null(strip(casts.text_of(item, "$.story_id"))).alias("story_id")))
+    opened = casts.open_objects(items.select("seq", "item_type", "item"), "item", _ITEM)
+    typed = opened.withColumn("post_type", classify.hn_post_type(F.col("item_type"), F.col("_tags")))
+    is_comment = F.col("post_type") == "comment"
+    return typed.select(
+        "seq", "post_type", F.col("_tags").alias("tags"),
+        blank_to_null(strip(casts.truthy_text(F.col("objectID")))).alias("source_post_id"),
+        # a blank but present author stays as '' and has no id
+        strip(casts.truthy_text(F.col("author"))).alias("author"),
+        casts.int_of(F.col("created_at_i")).alias("created_epoch"),
+        casts.text_of(F.when(is_comment, F.col("story_title")).otherwise(F.col("title"))).alias("title_html"),
+        casts.text_of(F.when(is_comment, F.col("comment_text")).otherwise(F.col("story_text"))).alias("content_html"),
+        casts.text_of(F.col("url")).alias("url"),
+        casts.int_of(F.col("points")).alias("score"),
+        blank_to_null(strip(casts.text_of(F.col("parent_id")))).alias("parent_id"),
+        blank_to_null(strip(casts.text_of(F.col("story_id")))).alias("story_id"))
 
 
 def _lineage(data_date: str, ingest_date: str, processed_at: str) -> dict[str, Column]:

@@ -18,6 +18,14 @@ from feedmetrics.operators.quality import conform
 from feedmetrics.schemas import SILVER, X
 
 
+_ITEM = ("id variant, text variant, lang variant, source variant, created_at variant, "
+         "user struct<id:variant,username:variant,display_name:variant,name:variant,followers_count:variant,"
+         "following_count:variant,verified:variant,is_verified:variant,created_at:variant>, "
+         f"metrics struct<{','.join(f'{name}:variant' for name in ENGAGEMENT_FIELDS)}>, "
+         "hashtags array<variant>, entities struct<hashtags:array<variant>>, "
+         "referenced_tweets array<struct<type:variant,id:variant,tweet_id:variant>>")
+
+
 def _hashtag_texts(entry: Column) -> Column:
     """A hashtag entry as (text, alternative): a string, or its tag and text fields."""
     text = F.coalesce(casts.string_of(entry), casts.string_of(entry, "$.tag"))
@@ -25,39 +33,35 @@ def _hashtag_texts(entry: Column) -> Column:
 
 
 def _reference(entry: Column) -> Column:
-    target = F.coalesce(casts.id_text(entry, "$.id"), casts.id_text(entry, "$.tweet_id"))
-    return F.struct(casts.string_of(entry, "$.type").alias("type"), target.alias("target"))
+    target = F.coalesce(casts.id_text(entry["id"]), casts.id_text(entry["tweet_id"]))
+    return F.struct(casts.string_of(entry["type"]).alias("type"), target.alias("target"))
 
 
 def flatten(items: DataFrame) -> DataFrame:
     """(seq, item VARIANT) -> typed columns; non-object items are dropped."""
-    item = F.col("item")
-
-    def hashtags(path: str) -> Column:
-        entries = F.transform(casts.elements_of(item, path), _hashtag_texts)
-        return F.coalesce(entries, F.array().cast("array<struct<text:string,alternative:string>>"))
-
-    references = F.filter(casts.elements_of(item, "$.referenced_tweets"), lambda entry: casts.is_object(entry))
-    return items.where(casts.is_object(item)).select(
-        "seq",
-        casts.id_text(item, "$.id").alias("source_post_id"),
-        casts.is_object(item, "$.user").alias("has_user"),
-        casts.id_text(item, "$.user.id").alias("source_user_id"),
-        casts.string_of(item, "$.user.username").alias("username_raw"),
-        casts.string_of(item, "$.user.display_name").alias("display_name_raw"),
-        casts.string_of(item, "$.user.name").alias("name_raw"),
-        casts.int_of(item, "$.user.followers_count").alias("followers_count"),
-        casts.int_of(item, "$.user.following_count").alias("following_count"),
-        F.coalesce(casts.bool_of(item, "$.user.verified"),
-                   casts.bool_of(item, "$.user.is_verified")).alias("is_verified"),
-        casts.string_of(item, "$.user.created_at").alias("user_created_raw"),
-        casts.string_of(item, "$.created_at").alias("created_raw"),
-        casts.string_of(item, "$.text").alias("text_raw"),
-        casts.string_of(item, "$.lang").alias("lang_raw"),
-        casts.string_of(item, "$.source").alias("source_raw"),
-        *(casts.int_of(item, f"$.metrics.{name}").alias(name) for name in ENGAGEMENT_FIELDS),
-        F.concat(hashtags("$.hashtags"), hashtags("$.entities.hashtags")).alias("hashtags"),
-        F.transform(references, _reference).alias("references"))
+
+    def text(name: str) -> Column:
+        return casts.string_of(F.col(name))
+
+    def count(name: str) -> Column:
+        return casts.int_of(F.col(name))
+
+    no_tags = F.array().cast("array<variant>")
+    hashtags = F.concat(F.coalesce("hashtags", no_tags), F.coalesce("entities.hashtags", no_tags))
+    return casts.open_objects(items.select("seq", "item"), "item", _ITEM).select(
+        "seq", casts.id_text(F.col("id")).alias("source_post_id"),
+        F.col("user").isNotNull().alias("has_user"),
+        casts.id_text(F.col("user.id")).alias("source_user_id"),
+        text("user.username").alias("username_raw"), text("user.display_name").alias("display_name_raw"),
+        text("user.name").alias("name_raw"), count("user.followers_count").alias("followers_count"),
+        count("user.following_count").alias("following_count"),
+        F.coalesce(casts.bool_of(F.col("user.verified")), casts.bool_of(F.col("user.is_verified")))
+        .alias("is_verified"),
+        text("user.created_at").alias("user_created_raw"), text("created_at").alias("created_raw"),
+        text("text").alias("text_raw"), text("lang").alias("lang_raw"), text("source").alias("source_raw"),
+        *(count(f"metrics.{name}").alias(name) for name in ENGAGEMENT_FIELDS),
+        F.transform(hashtags, lambda entry: _hashtag_texts(entry)).alias("hashtags"),
+        F.transform("referenced_tweets", lambda entry: _reference(entry)).alias("references"))
 
 
 def _lineage(data_date: str, ingest_date: str, processed_at: str) -> list[Column]:
