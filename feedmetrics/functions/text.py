@@ -17,6 +17,11 @@ def _html_unescape(values: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(text) else html.unescape(text) for text in values], dtype=object)
 
 
+# Declared so to be evaluated exactly once where it stands: a deterministic UDF
+# is copied into every filter and expression that uses its result.
+_unescape_once = _html_unescape.asNondeterministic()
+
+
 def unescape(text: Column) -> Column:
     """Resolve HTML character references.
 
@@ -24,7 +29,7 @@ def unescape(text: Column) -> Column:
     library, so this is the one Arrow UDF of the package. Only texts holding
     an ampersand are sent to it; all others cross as nulls and stay in the JVM.
     """
-    return F.coalesce(_html_unescape(F.when(text.contains("&"), text)), text)
+    return F.coalesce(_unescape_once(F.when(text.contains("&"), text)), text)
 
 
 def strip(text: Column) -> Column:

@@ -48,6 +48,11 @@ def _lineage(data_date: str, ingest_date: str, processed_at: str) -> dict[str, C
             "silver_processed_at_utc": F.lit(processed_at)}
 
 
+def _post_id() -> Column:
+    """Computed per post, before its tags or links are spread over rows."""
+    return hn_id(F.col("source_post_id")).alias("post_id")
+
+
 def _created() -> dict[str, Column]:
     epoch = F.col("created_epoch")
     return {"created_at_utc": epoch_text(epoch), **part_columns(epoch_timestamp(epoch))}
@@ -74,7 +79,7 @@ def posts(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str)
                        ["source_post_id"], ["seq"])
     author = F.col("author")
     return conform(first.select(
-        hn_id(F.col("source_post_id")).alias("post_id"), "source_post_id",
+        _post_id(), "source_post_id",
         hn_id(blank_to_null(author)).alias("author_user_id"), author.alias("author_username"),
         "post_type", clean_html(F.col("title_html")).alias("title"),
         clean_html(F.col("content_html")).alias("content_text"), "url", "score",
@@ -87,14 +92,14 @@ def post_tags(flat: DataFrame, data_date: str, ingest_date: str, processed_at: s
     """One row per post, tag (any case) and tag type; the first spelling stays."""
     tag = F.col("tag")
     exploded = (flat.where(F.col("source_post_id").isNotNull())
-                .select("seq", "source_post_id", "created_epoch",
+                .select("seq", _post_id(), "created_epoch",
                         F.posexplode("tags").alias("tag_pos", "raw_tag"))
                 .withColumn("tag", strip(F.col("raw_tag"))).where(tag != "")
                 .withColumn("tag_type", classify.hn_tag_type(tag)))
-    first = keep_first(exploded, [F.col("source_post_id"), F.lower(tag), F.col("tag_type")],
+    first = keep_first(exploded, [F.col("post_id"), F.lower(tag), F.col("tag_type")],
                        ["seq", "tag_pos"])
     return conform(first.select(
-        hn_id(F.col("source_post_id")).alias("post_id"), "tag", "tag_type",
+        "post_id", "tag", "tag_type",
         *(c.alias(n) for n, c in _created().items()),
         *(c.alias(n) for n, c in _lineage(data_date, ingest_date, processed_at).items()),
     ), SILVER["post_tags"])
@@ -105,12 +110,11 @@ def post_relations(flat: DataFrame, data_date: str, ingest_date: str, processed_
     links = F.array(F.struct(F.lit("parent").alias("relation_type"), F.col("parent_id").alias("target")),
                     F.struct(F.lit("story").alias("relation_type"), F.col("story_id").alias("target")))
     exploded = (flat.where(F.col("source_post_id").isNotNull())
-                .select("seq", "source_post_id", "created_epoch", F.inline(links))
+                .select("seq", _post_id(), "created_epoch", F.inline(links))
                 .where(F.col("target").isNotNull()))
-    first = keep_first(exploded, ["source_post_id", "target", "relation_type"], ["seq"])
+    first = keep_first(exploded, ["post_id", "target", "relation_type"], ["seq"])
     return conform(first.select(
-        hn_id(F.col("source_post_id")).alias("post_id"),
-        F.col("target").alias("related_source_post_id"), "relation_type",
+        "post_id", F.col("target").alias("related_source_post_id"), "relation_type",
         *(c.alias(n) for n, c in _created().items()),
         *(c.alias(n) for n, c in _lineage(data_date, ingest_date, processed_at).items()),
     ), SILVER["post_relations"])

@@ -57,7 +57,7 @@ def flatten(items: DataFrame) -> DataFrame:
         count("user.following_count").alias("following_count"),
         F.coalesce(casts.bool_of(F.col("user.verified")), casts.bool_of(F.col("user.is_verified")))
         .alias("is_verified"),
-        text("user.created_at").alias("user_created_raw"), text("created_at").alias("created_raw"),
+        text("user.created_at").alias("user_created_raw"), iso_timestamp(text("created_at")).alias("created"),
         text("text").alias("text_raw"), text("lang").alias("lang_raw"), text("source").alias("source_raw"),
         *(count(f"metrics.{name}").alias(name) for name in ENGAGEMENT_FIELDS),
         F.transform(hashtags, lambda entry: _hashtag_texts(entry)).alias("hashtags"),
@@ -69,8 +69,13 @@ def _lineage(data_date: str, ingest_date: str, processed_at: str) -> list[Column
             F.lit(ingest_date).alias("ingest_date"), F.lit(processed_at).alias("silver_processed_at_utc")]
 
 
+def _post_id() -> Column:
+    """Computed per post, before its tags or references are spread over rows."""
+    return x_post_id(F.col("source_post_id")).alias("post_id")
+
+
 def _created() -> list[Column]:
-    created = iso_timestamp(F.col("created_raw"))
+    created = F.col("created")
     return [utc_text(created).alias("created_at_utc"),
             *(column.alias(name) for name, column in part_columns(created).items())]
 
@@ -100,10 +105,10 @@ def posts(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str)
         flat.where(F.col("source_post_id").isNotNull())
         .withColumn("post_type", classify.x_post_type(F.col("references.type")))
         .select("seq", "source_post_id", "source_user_id", "username_raw", "post_type", "text_raw", "lang_raw",
-                "source_raw", "created_raw", *ENGAGEMENT_FIELDS),
+                "source_raw", "created", *ENGAGEMENT_FIELDS),
         ["source_post_id"], ["seq"]).withColumn("author_username", clean_text(F.col("username_raw")))
     return conform(first.select(
-        x_post_id(F.col("source_post_id")).alias("post_id"), "source_post_id",
+        _post_id(), "source_post_id",
         x_user_id(F.col("source_user_id"), F.col("author_username")).alias("author_user_id"),
         "author_username", "post_type",
         clean_text(F.col("text_raw")).alias("content_text"), *ENGAGEMENT_FIELDS,
@@ -115,32 +120,31 @@ def posts(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str)
 def post_tags(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
     """Distinct lower-cased hashtags of a post, one leading # removed."""
     entries = (flat.where(F.col("source_post_id").isNotNull())
-               .select("seq", "source_post_id", "created_raw",
+               .select("seq", _post_id(), "created",
                        F.posexplode("hashtags").alias("tag_pos", "entry")))
     cleaned = F.coalesce(clean_text(F.col("entry.text")), clean_text(F.col("entry.alternative")))
     marked = entries.withColumn("tag", cleaned).where(F.col("tag").isNotNull())
     body = clean_text(F.when(F.col("tag").startswith("#"), F.substr("tag", F.lit(2))))
     bare = F.when(F.col("tag").startswith("#"), body).otherwise(F.col("tag"))
     tagged = marked.withColumn("tag", F.lower(bare)).where(F.col("tag").isNotNull())
-    first = keep_first(tagged, ["source_post_id", "tag"], ["seq", "tag_pos"])
+    first = keep_first(tagged, ["post_id", "tag"], ["seq", "tag_pos"])
     return conform(first.select(
-        x_post_id(F.col("source_post_id")).alias("post_id"), "tag", F.lit("hashtag").alias("tag_type"),
+        "post_id", "tag", F.lit("hashtag").alias("tag_type"),
         *_created(), *_lineage(data_date, ingest_date, processed_at),
     ), SILVER["post_tags"])
 
 
 def post_relations(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
     entries = (flat.where(F.col("source_post_id").isNotNull())
-               .select("seq", "source_post_id", "created_raw",
+               .select("seq", _post_id(), "created",
                        F.posexplode("references").alias("reference_pos", "reference"))
                .withColumn("relation_type", classify.x_relation_type(F.col("reference.type")))
                .withColumn("target", F.col("reference.target"))
                .where(F.col("relation_type").isNotNull() & F.col("target").isNotNull())
                .drop("reference"))
-    first = keep_first(entries, ["source_post_id", "target", "relation_type"], ["seq", "reference_pos"])
+    first = keep_first(entries, ["post_id", "target", "relation_type"], ["seq", "reference_pos"])
     return conform(first.select(
-        x_post_id(F.col("source_post_id")).alias("post_id"),
-        F.col("target").alias("related_source_post_id"), "relation_type",
+        "post_id", F.col("target").alias("related_source_post_id"), "relation_type",
         *_created(), *_lineage(data_date, ingest_date, processed_at),
     ), SILVER["post_relations"])
 
