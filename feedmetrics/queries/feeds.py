@@ -120,9 +120,10 @@ def x_tags(spark: SparkSession, sf: str) -> DataFrame:
     words = F.transform(F.split(F.concat_ws(" ", "p_name", F.upper("p_name")), " "),
                         lambda word: F.struct(word.alias("tag"), F.lit("hashtag").alias("tag_type")))
     brand = F.array(F.struct(F.col("p_brand").alias("tag"), F.lit("brand").alias("tag_type")))
-    tags = lines.select("l_orderkey", "l_shipdate", F.inline(F.concat(words, brand)))
-    return _silver(tags, "post_tags", X, day_text("l_shipdate"), {
-        "post_id": x_post_id(F.col("l_orderkey").cast("string")), "tag": F.col("tag"),
+    post_id = x_post_id(F.col("l_orderkey").cast("string"))
+    tags = lines.select(post_id.alias("post_id"), day_text("l_shipdate").alias("date"), F.inline(F.concat(words, brand)))
+    return _silver(tags, "post_tags", X, F.col("date"), {
+        "post_id": F.col("post_id"), "tag": F.col("tag"),
         "tag_type": F.col("tag_type")})
 
 
@@ -142,11 +143,13 @@ def x_silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 # --- item feeds (JSON) -----------------------------------------------------
 
-def _json(*fields: Column, name: str = "item") -> Column:
-    """A generated JSON column. It comes out of a generator, as a landed one
-    comes out of a scan: otherwise each use of it would build the JSON again.
+def _json(*fields: Column) -> Column:
+    """A JSON object column ``item`` out of typed fields.
+
+    It comes out of a generator, as a landed one comes out of a scan:
+    otherwise each use of it would build the object again.
     """
-    return F.inline(F.array(F.struct(F.parse_json(F.to_json(F.struct(*fields))).alias(name))))
+    return F.inline(F.array(F.struct(F.to_variant_object(F.struct(*fields)).alias("item"))))
 
 
 def hn_items(spark: SparkSession, sf: str) -> DataFrame:
