@@ -58,7 +58,7 @@ if __name__ == "__main__":
     from feedmetrics.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    chosen = sys.argv[2:] or list(entry.queries())
+    chosen = sys.argv[2:] or list(entry.oracle_sql())
     session = build_session(master="local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
         "spark.ui.showConsoleProgress": "false"})

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
+from feedmetrics.queries.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
@@ -16,7 +17,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     assert name in entry.oracle_sql()
     assert compare(spark, duck, name, SF) is None
