@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.llm import exact_dedup, mixing, sharding, simhash, warc
+from feedmetrics.llm import exact_dedup, mixing, packing, sharding, simhash, warc
 from feedmetrics.session import configure, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_pack")
+def pack_documents(spark, sf_dir):
+    return packing.pack(_documents(spark, sf_dir), tokenizer_file(), end_id=2)
+
+
 @query("op4_simhash_dedup")
 def simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(_documents(spark, sf_dir))
