@@ -62,7 +62,7 @@ def apportion(parties: DataFrame, group: list[str], order: list[Column], votes:
 
 
 def mix(docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-        source_column: str = "source", cap: int = 3, block_words: int = 16, shard_docs: int = 20_000,
+        source_column: str = "source", cap: int = 3, block_words: int = 16, shard_docs: int = 5_000,
         seed: int = 1, carry: bool = False) -> DataFrame:
     """Decides how many words of each document a mix by source weights takes.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.llm import exact_dedup, mixing, packing, sharding, simhash, warc
+from feedmetrics.llm import exact_dedup, mixing, packing, quality_fm, rule_cascade, sharding, simhash, warc
 from feedmetrics.session import configure, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_quality_classifier")
+def quality_scores(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    machine = quality_fm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_fm.scored(docs.select("doc_id", "text", "n_chars"), machine).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -43,12 +51,39 @@ def pack_documents(spark, sf_dir):
     return packing.pack(_documents(spark, sf_dir), tokenizer_file(), end_id=2)
 
 
+@query("op3_quality_rules", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+windows AS (SELECT r, p, list_slice(words, p, p + 7) AS seq
+            FROM (SELECT r, words, unnest(generate_series(1, len(words) - 7)) AS p FROM w)),
+twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, seq) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT p + k) AS n FROM twice, generate_series(0, 7) AS g(k) GROUP BY r),
+c AS (SELECT doc_id, t, words, lines, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: len(x))), 0) AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             coalesce(covered.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN covered USING (r)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words
+            OR 2 * n_dup_lines > len(lines)
+            OR 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < 7 * n_words
+            OR len(regexp_extract_all(t, '[A-Z]')) > len(regexp_extract_all(t, '[a-z]'))
+            OR 10 * len(list_filter(list_zip(words, words[2:]), lambda x: x[1] = x[2])) > 3 * n_words
+            OR 10 * len(list_filter(lines, lambda x: x LIKE '%...' OR x LIKE '%…')) > 3 * len(lines)
+            OR 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^[-*•]'))) > 9 * len(lines)) AS kept
+FROM f""")
+def quality_rules(spark, sf_dir):
+    return rule_cascade.judged(_documents(spark, sf_dir))
+
+
 @query("op4_simhash_dedup")
 def simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
-MIX_CYCLE, MIX_CAP, MIX_BLOCK, MIX_SHARD, MIX_SEED = (5, 2, 1), 3, 16, 20_000, 1
+MIX_CYCLE, MIX_CAP, MIX_BLOCK, MIX_SHARD, MIX_SEED = (5, 2, 1), 3, 16, 5_000, 1
 
 
 @query("op5_mix_sources", f"""
