@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.llm import exact_dedup, mixing, packing, quality_fm, rule_cascade, sharding, simhash, warc
+from feedmetrics.llm import (exact_dedup, mixing, packing, ppm, quality_fm, rule_cascade, sharding, simhash,
+                             substring_dedup, warc)
 from feedmetrics.session import configure, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +171,26 @@ def warc_round_trip(spark, sf_dir):
     archive = scratch_dir(spark, "llm-warc")
     warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), archive)
     return warc.pages_of(warc.read_archive(spark, archive))
+
+
+@query("op9_lm_scoring")
+def lm_scores(spark, sf_dir):
+    return ppm.scored(_documents(spark, sf_dir))
+
+
+@query("op10_substring_dedup", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, p, array_to_string(list_slice(words, p, p + 19), ' ') AS seq
+            FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS p FROM w)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY seq ORDER BY doc_id, p) AS nth
+                                 FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM later, generate_series(0, 19) AS g(k)),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept_text, count(*) AS n
+         FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id""")
+def substring_duplicates(spark, sf_dir):
+    found = substring_dedup.without_repeats(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
