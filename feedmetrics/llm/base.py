@@ -34,7 +34,7 @@ def staged(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     a lost executor costs one read. ``clear_staged`` removes the folders.
     """
     path = scratch_dir(spark, f"llm-{purpose}")
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     _STAGED.append(path)
     return spark.read.schema(rows.schema).parquet(path)
 
