@@ -61,19 +61,16 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments with balls of radius one find distances up to 3")
-    one = F.lit(1).cast("bigint")
+    masks = [F.lit(1 << bit).cast("bigint") for bit in range(32)]
     entry, probe = [], []
     for number, segment in enumerate(_segments(F.col("bits"))):
         entry.append(F.struct(F.lit(number).alias("segment"), segment.alias("key")))
-        masks = [F.lit(1 << i).cast("bigint") for i in range(32)]
-        ball = F.transform(F.filter(F.array(*masks), lambda m, s=segment: s.bitwiseAND(m) == 0),
-                           lambda m, s=segment: s.bitwiseXOR(m))
-        flips = F.transform(ball, lambda k, n=number: F.struct(F.lit(n).alias("segment"), k.alias("key"),
-                                                               F.lit(False).alias("same")))
-        probe.append(F.concat(F.array(F.struct(F.lit(number).alias("segment"), segment.alias("key"),
-                                               F.lit(True).alias("same"))), flips))
+        zeros = [F.struct(F.lit(number).alias("segment"), F.when(segment.bitwiseAND(mask) == 0, segment.bitwiseXOR(
+            mask)).alias("key"), F.lit(False).alias("same")) for mask in masks]
+        own = F.struct(F.lit(number).alias("segment"), segment.alias("key"), F.lit(True).alias("same"))
+        probe += [own, *zeros]
     entries = distinct.select(F.col("bits").alias("b"), F.inline(F.array(*entry)))
-    probes = distinct.select(F.col("bits").alias("a"), F.inline(F.concat(*probe)))
+    probes = distinct.select(F.col("bits").alias("a"), F.inline(F.array(*probe))).filter("key IS NOT NULL")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     once = ~F.col("same") | (F.col("a") < F.col("b"))
     found = probes.join(entries, (probes["segment"] == entries["segment"]) & (probes["key"] == entries["key"])
