@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,36 +19,82 @@ from pyspark.sql import Window
 from feedmetrics.llm.base import staged, text_of
 
 
+# The normalizer and pre-tokenizer of the word-level BPE files, whose tokens stay inside a word.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+               {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Words of these characters are their own NFC form, and their letters, lower-cased, are a-z and the third line's.
+PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|"
+                    "[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte -> its letter in byte-level BPE: printable Latin-1 stands for itself, the rest follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
-    """Token ids of whole texts, for tokenizers whose tokens never span white space.
+    """Token ids of whole texts, for word-level BPE: a text has the ids of its words, one after the other.
 
-    Such a tokenizer gives a text the ids of its words, one after the other, so
-    only words not seen before are encoded. ``most`` bounds the words remembered.
+    A word not seen before is cut as the tokenizer's settings say, and only
+    pieces not seen before are encoded by its model. Words with unusual
+    characters go through the whole tokenizer. About ``most`` words and pieces
+    are remembered.
     """
 
-    def __init__(self, tokenizer_file: str, dtype: str, most: int = 300_000):
+    def __init__(self, tokenizer_file: str, dtype: str, most: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.dtype, self.most, self.known = dtype, most, {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        out, at = [], 0
-        while at < len(split):
-            new, stop = set(), at
-            while stop < len(split) and (stop == at or len(new) < 50_000):
-                new.update(split[stop])
-                stop += 1
-            new -= self.known.keys()
-            if len(self.known) + len(new) > self.most:
-                self.known, new = {}, {w for words in split[at:stop] for w in words}
-            words = list(new)
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype=self.dtype).tobytes()) for w, e in zip(words, encoded))
-            out += [b"".join(map(self.known.__getitem__, words)) for words in split[at:stop]]
-            at = stop
-        return out
+        settings = json.loads(self.tokenizer.to_str())
+        steps = settings["pre_tokenizer"].get("pretokenizers", [])
+        if (settings["normalizer"].get("normalizers") != NORMALIZERS or [s["type"] for s in steps] != [
+                "Split", "ByteLevel"] or steps[0]["pattern"] != {"Regex": SPLIT} or steps[1]["use_regex"]):
+            raise ValueError("not a word-level BPE tokenizer")
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.code, self.most, self.known, self.pieces = {"<u2": "H", "<u4": "I"}[dtype], most, {}, {}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            text = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
+            found = self.pieces[piece] = self.packed([t.id for t in self.model.tokenize(text)])
+        return found
+
+    def _learn(self, words: set[bytes]) -> None:
+        unusual = []
+        for word in words:
+            text = word.decode("utf-8")
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                self.known[word] = b"".join(map(self._piece, PIECES.findall(text.lower())))
+            else:
+                unusual.append(word)
+        for at in range(0, len(unusual), 10_000):
+            part = unusual[at:at + 10_000]
+            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
+            self.known.update((w, self.packed(e.ids)) for w, e in zip(part, encoded))
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and size < 1 << 20:
+                split.append(texts[at].encode("utf-8", "replace").split())
+                size += len(texts[at])
+                at += 1
+            for memory in (self.known, self.pieces):
+                if len(memory) > self.most:
+                    memory.clear()
+            self._learn(set(chain.from_iterable(split)) - self.known.keys())
+            for own in split:
+                yield b"".join(map(self.known.__getitem__, own))
 
 
 def tokenized(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: str, text_column: str,
@@ -55,9 +106,10 @@ def tokenized(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: str,
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder, end = WordEncoder(tokenizer_file, dtype), np.array([end_id], dtype=dtype).tobytes()
+        encoder = WordEncoder(tokenizer_file, dtype)
+        end = encoder.packed([end_id])
         for batch in batches:
-            yield pd.Series([ids + end for ids in encoder(list(batch))], dtype=object)
+            yield pd.Series([ids + end for ids in encoder(batch.tolist())], dtype=object)
 
     ids = docs.select(F.col(id_column).alias("doc_id"), encode(text_of(text_column)).alias("ids"))
     return ids.select(F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("block"), "doc_id",
