@@ -7,20 +7,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from feedmetrics.llm.base import held_out, staged, text_of
 
 END = b"\n"  # never inside a word: ends a text, and fills the context before its first byte
-CHUNK = 4 << 20
+PACK_BYTES = 1 << 20
 
 
-def _tokens(text: str) -> list[bytes]:
-    return text.encode("utf-8", "replace").lower().split()
+def plain(text: str) -> bytes:
+    """The words of a text, A-Z lower-cased, joined by a space, and the end."""
+    return b" ".join(text.encode("utf-8", "replace").lower().split()) + END
 
 
-def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The (order + 1)-byte strings that end at each byte of the texts, as numbers; where each text begins."""
     lengths = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(END * order + t for t in texts), dtype=np.uint8).astype(np.int64)
@@ -34,60 +37,82 @@ def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return codes[real], np.cumsum(lengths) - lengths
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[int]]:
-    """Runs of positions whose texts make about CHUNK bytes."""
-    at, own, size = 0, [], 0
-    while at < len(texts):
-        own.append(at)
-        size += len(texts[at])
-        at += 1
-        if size >= CHUNK or at == len(texts):
-            yield own
-            own, size = [], 0
-
-
-COUNTS = "block int, gram bigint, word binary, n bigint"
-
-
-def _block_counts(order: int):
-    def count(block: pd.DataFrame) -> pd.DataFrame:
-        tokens = [_tokens(t) for t in block["text"]]
-        words: Counter[bytes] = Counter()
-        for own, held in zip(tokens, block["held"]):
-            if held:
-                words.update(dict.fromkeys(own, 0))
-            else:
-                words.update(own)
-        words[END] += int((~block["held"]).sum())
-        texts = [b" ".join(own) + END for own in tokens]
-        held = block["held"].to_numpy()
-        grams, counts = [], []
-        for own in _chunks(texts):
-            for part in (False, True):
-                chosen = [texts[i] for i in own if held[i] == part]
-                if chosen:
-                    values, n = np.unique(_grams(chosen, order)[0], return_counts=True)
-                    grams.append(values)
-                    counts.append(np.zeros_like(n) if part else n)
-        values, place = np.unique(np.concatenate(grams), return_inverse=True)
-        totals = np.bincount(place, np.concatenate(counts)).astype(np.int64)
-        number = int(block["block"].iloc[0])
-        return pd.concat([
-            pd.DataFrame({"block": number, "gram": pd.array(values, dtype="Int64"), "word": None, "n": totals}),
-            pd.DataFrame({"block": number, "gram": pd.array([None] * len(words), dtype="Int64"),
-                          "word": list(words.keys()), "n": list(words.values())})])
-
-    return count
+class BlockCounts:
+    """Counts of a block's byte strings and words; those of texts held out are there with none."""
+
+    def __init__(self, order: int):
+        self.order, self.words, self.parts, self.waiting = order, Counter(), [], 0
+
+    def add(self, texts: list[bytes], held: list[bool]) -> None:
+        for part in (False, True):
+            chosen = [t for t, h in zip(texts, held) if h == part]
+            if not chosen:
+                continue
+            words = b"".join(chosen).split()
+            self.words.update(dict.fromkeys(words, 0) if part else words)
+            self.words[END] += 0 if part else len(chosen)
+            values, n = np.unique(grams_of(chosen, self.order)[0], return_counts=True)
+            self.parts.append((values, np.zeros_like(n) if part else n))
+            self.waiting += len(values)
+        if self.waiting > 2_000_000:
+            self._merge()
+
+    def _merge(self) -> None:
+        values, place = np.unique(np.concatenate([v for v, _ in self.parts]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([n for _, n in self.parts])).astype(np.int64)
+        self.parts, self.waiting = [(values, counts)], 0
+
+    def rows(self, block: int) -> Iterator[pd.DataFrame]:
+        if self.parts:
+            self._merge()
+            yield _rows(block=block, gram=self.parts[0][0], n=self.parts[0][1])
+        words = list(self.words)
+        for at in range(0, len(words), 100_000):
+            own = words[at:at + 100_000]
+            yield _rows(block=block, word=own, n=[self.words[w] for w in own])
+
+
+ROWS = "block bigint, ids array<string>, held array<boolean>, texts binary, gram bigint, word binary, n bigint"
+COLUMNS = [c.split()[0] for c in ROWS.split(", ")]
+
+
+def _rows(**given) -> pd.DataFrame:
+    return pd.DataFrame({c: given.get(c) for c in COLUMNS})
+
+
+def _blocks(order: int, block_bytes: int):
+    """Deals a partition's texts into blocks: rows of packed texts, then the block's counts."""
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, size, counts = TaskContext.get().partitionId() << 32, 0, BlockCounts(order)
+        for batch in batches:
+            texts = list(map(plain, batch["text"]))
+            ids, held, at = batch["doc_id"].tolist(), batch["held"].tolist(), 0
+            while at < len(texts):
+                stop, length = at, 0
+                while stop < len(texts) and length < PACK_BYTES:
+                    length += len(texts[stop])
+                    stop += 1
+                counts.add(texts[at:stop], held[at:stop])
+                packed = zstandard.compress(b"".join(texts[at:stop]))
+                yield _rows(block=block, ids=[ids[at:stop]], held=[held[at:stop]], texts=[packed], n=0)
+                size, at = size + length, stop
+                if size >= block_bytes:
+                    yield from counts.rows(block)
+                    block, size, counts = block + 1, 0, BlockCounts(order)
+        yield from counts.rows(block)
+
+    return deal
 
 
 def log_probabilities(grams: DataFrame, order: int) -> DataFrame:
     """grams(gram, n): training counts of all (order + 1)-byte strings to score -> (gram, logp), base 10.
 
     A context of ``total`` training bytes and ``kinds`` different next bytes
-    gives a byte seen n times n / (total + kinds), and escapes to the context
-    one byte shorter with kinds / (total + kinds). There the bytes seen in the
-    longer context are excluded: they cannot be what follows an escape. Below
-    the empty context all 256 bytes not seen at all are equally likely.
+    gives a byte seen n times (n - 1/2) / total, and escapes to the context one
+    byte shorter with kinds / (2 total). There the bytes seen in the longer
+    context are excluded: they cannot be what follows an escape. Below the empty
+    context all 256 bytes not seen at all are equally likely.
 
     A context has at most 256 next bytes, and a string at most 256 one byte
     longer, so the windows below stay small whatever the corpus.
@@ -107,8 +132,8 @@ def log_probabilities(grams: DataFrame, order: int) -> DataFrame:
         levels[j] = staged(spark, level.drop("context"), f"ppm-{j}")
         level = levels[j].groupBy(F.col("shorter").alias("gram")).agg(F.sum("n").alias("n"))
 
-    known = F.col("n") / (F.col("total") + F.col("kinds"))
-    escape = F.col("kinds") / (F.col("total") + F.col("kinds"))
+    known = (F.col("n") - 0.5) / F.col("total")
+    escape = F.col("kinds") / (2 * F.col("total"))
     rest = F.when(F.col("kinds") < 256, 1.0 / (256 - F.col("kinds")))
     found = levels[0].select("gram", "n", "total", "kinds", rest.alias("down"), F.when(
         F.col("total") == 0, F.lit(1.0 / 256)).when(F.col("n") > 0, known).otherwise(escape * rest).alias("p"))
@@ -118,8 +143,8 @@ def log_probabilities(grams: DataFrame, order: int) -> DataFrame:
                              F.col("kinds").alias("low_kinds"))
         left, kinds = F.col("low_total") - F.col("covered"), F.col("low_kinds") - F.col("kinds")
         new = levels[j].filter("n = 0").join(lower, "shorter")
-        down = F.when(F.col("low_n") > 0, F.col("low_n") / (left + kinds)).otherwise(
-            F.when(kinds > 0, kinds / (left + kinds)).otherwise(1.0) * F.col("low_down"))
+        down = F.when(F.col("low_n") > 0, (F.col("low_n") - 0.5) / left).otherwise(
+            F.when(kinds > 0, kinds / (2 * left)).otherwise(1.0) * F.col("low_down"))
         new = new.withColumn("down", down).select(
             "gram", "n", "total", "kinds", "down",
             F.when(F.col("total") == 0, F.col("low_p")).otherwise(escape * F.col("down")).alias("p"))
@@ -136,18 +161,17 @@ SCORES = ("doc_id string, held_out boolean, n_tokens bigint, n_known bigint, tra
 def _block_scores(order: int, total: int, kinds: int):
     floor = np.log10(total + 0.1 * (kinds + 1))
 
-    def score(docs: pd.DataFrame, lookup: pd.DataFrame) -> pd.DataFrame:
-        columns = [c.split()[0] for c in SCORES.split(", ")]
-        if not len(docs):
-            return pd.DataFrame(columns=columns)
-        tokens = [_tokens(t) for t in docs["text"]]
+    def score(packs: pd.DataFrame, lookup: pd.DataFrame) -> pd.DataFrame:
+        def unpacked() -> Iterator[tuple[list, list, list[bytes]]]:
+            for ids, held, texts in zip(packs["ids"], packs["held"], packs["texts"]):
+                yield list(ids), list(held), zstandard.decompress(texts).splitlines(keepends=True)
+
         words: Counter[bytes] = Counter()
-        for own, held in zip(tokens, docs["held"]):
-            if held:
-                words.update(dict.fromkeys(own, 0))
-            else:
-                words.update(own)
-        words[END] += int((~docs["held"]).sum())
+        for _, held, texts in unpacked():
+            for text, out in zip(texts, held):
+                own = text.split()
+                words.update(dict.fromkeys(own, 0) if out else own)
+                words[END] += not out
         shared = lookup[lookup["word"].notna()]
         words.update({w: int(n) - words[w] for w, n in zip(shared["word"], shared["n"])})
         values = dict(zip(words, np.log10(np.fromiter(words.values(), float, len(words)) + 0.1).tolist()))
@@ -155,27 +179,25 @@ def _block_scores(order: int, total: int, kinds: int):
         grams, logs = known["gram"].to_numpy(dtype=np.int64), known["logp"].to_numpy(dtype=float)
         sort = np.argsort(grams)
         grams, logs = grams[sort], logs[sort]
-        texts = [b" ".join(own) + END for own in tokens]
-        scores = np.zeros(len(texts))
-        for own in _chunks(texts):
-            codes, starts = _grams([texts[i] for i in own], order)
+        rows = []
+        for ids, held, texts in unpacked():
+            codes, starts = grams_of(texts, order)
             at = np.searchsorted(grams, codes)
             if not np.array_equal(grams[at], codes):
                 raise ValueError("a byte string of the block has no probability")
-            scores[own] = np.add.reduceat(logs[at], starts)
-        rows = []
-        for number, (doc_id, held, own) in enumerate(zip(docs["doc_id"], docs["held"], tokens)):
-            each = np.fromiter(map(values.__getitem__, own), float, len(own))
-            each = np.append(each, values[END])
-            rows.append((doc_id, held, len(each), int((each > 0).sum()), total, float((each - floor).sum()),
-                         float(scores[number])))
-        return pd.DataFrame(rows, columns=columns)
+            scores = np.add.reduceat(logs[at], starts).tolist()
+            for doc_id, out, text, one in zip(ids, held, texts, scores):
+                own = text.split()
+                each = np.fromiter(map(values.__getitem__, own), float, len(own))
+                each = np.append(each, values[END])
+                rows.append((doc_id, out, len(each), int((each > 0).sum()), total, float((each - floor).sum()), one))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in SCORES.split(", ")])
 
     return score
 
 
 def scored(docs: DataFrame, order: int = 4, folds: int = 10, id_column: str = "doc_id", text_column: str = "text",
-           block_bytes: int = 32 << 20) -> DataFrame:
+           block_bytes: int = 20 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A text is its words, A-Z lower-cased, joined by a space, and an end byte.
@@ -183,12 +205,13 @@ def scored(docs: DataFrame, order: int = 4, folds: int = 10, id_column: str = "d
     ``order`` bytes, counted in all texts outside fold 0; ``base_score`` that of
     its words and end as independent draws.
 
-    Texts are dealt into blocks of about ``block_bytes``. A block reports each
-    byte string and word once, with its count; the corpus sums them, works out
-    the probabilities by windows and joins, and returns to each block the
-    strings it has, and those words that other blocks have too. So what is
-    shuffled is bounded by the text and shrinks with repetition, and nothing
-    that grows with the corpus is broadcast or collected.
+    One pass over the texts deals them into blocks of about ``block_bytes``. A
+    block keeps its texts, packed, and reports each byte string and word once,
+    with its count. The corpus sums the counts, works out the probabilities by
+    windows and joins, and returns to each block the strings it has, and those
+    words that other blocks have too. So what is shuffled is bounded by the text
+    and shrinks with repetition, and nothing that grows with the corpus is
+    broadcast or collected.
 
     A null or empty text has the end token alone. A null id counts as the empty
     string for the fold. Repeated rows are texts of their own; an empty table
@@ -198,18 +221,14 @@ def scored(docs: DataFrame, order: int = 4, folds: int = 10, id_column: str = "d
     kind = docs.schema[id_column].dataType
     texts = docs.select(F.col(id_column).cast("string").alias("doc_id"), text_of(text_column).alias("text"),
                         held_out(id_column, folds).alias("held"))
-    size = texts.agg(F.sum(F.octet_length("text").cast("bigint") + 64)).first()[0] or 0
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-size // block_bytes) or 1)).cast("int")
-    texts = texts.withColumn("block", block)
-
-    counts = staged(spark, texts.groupBy("block").applyInPandas(_block_counts(order), COUNTS), "ppm-counts")
-    strings = counts.filter("word IS NULL").select("block", "gram", "n")
+    rows = staged(spark, texts.mapInPandas(_blocks(order, block_bytes), ROWS), "ppm-blocks")
+    strings = rows.filter("gram IS NOT NULL").select("block", "gram", "n")
     grams = strings.groupBy("gram").agg(F.sum("n").alias("n"))
     priced = strings.select("block", "gram").join(log_probabilities(grams, order), "gram")
 
     own, first = Window.partitionBy("word"), F.row_number().over(Window.partitionBy("word").orderBy("block"))
-    words = counts.filter("word IS NOT NULL").select("block", "word", "n", F.sum("n").over(own).alias("all"),
-                                                     first.alias("nth"))
+    words = rows.filter("word IS NOT NULL").select("block", "word", "n", F.sum("n").over(own).alias("all"),
+                                                   first.alias("nth"))
     seen: Observation = Observation()
     tokens: Column = F.coalesce(F.sum("n"), F.lit(0))
     words = words.observe(seen, tokens.alias("tokens"),
@@ -221,6 +240,7 @@ def scored(docs: DataFrame, order: int = 4, folds: int = 10, id_column: str = "d
     lookup = priced.select("block", "gram", "logp", F.lit(None).cast("binary").alias("word"),
                            F.lit(0).cast("bigint").alias("n")).unionByName(
         shared.select("block", F.lit(0).cast("bigint").alias("gram"), F.lit(0.0).alias("logp"), "word", "n"))
-    found = texts.groupBy("block").cogroup(lookup.groupBy("block")).applyInPandas(
+    packs = rows.filter("texts IS NOT NULL").select(F.col("block").alias("own_block"), "ids", "held", "texts")
+    found = packs.groupBy("own_block").cogroup(lookup.groupBy("block")).applyInPandas(
         _block_scores(order, total, kinds), SCORES)
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
