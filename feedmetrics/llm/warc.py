@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.llm.base import text_of
+from feedmetrics.llm.base import staged, text_of
 
 VERSION = b"WARC/1.1\r\n"
 BETWEEN = "\r\n\r\n"
@@ -105,6 +105,7 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 100, chunk_byt
     rows = pages.select("page_id", "url", text_of("html").alias("html")).withColumn("digest", F.sha2("html", 256))
     firsts = rows.filter(F.octet_length("html") >= least_bytes).groupBy(F.col("digest").alias("__digest")).agg(
         F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("pages")).filter("pages > 1").drop("pages")
+    firsts = staged(pages.sparkSession, firsts, "warc-firsts")
     rows = rows.join(firsts, F.col("digest") == F.col("__digest"), "left")
     original = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     rows = rows.select(F.col("page_id").cast("string"), F.monotonically_increasing_id().alias("row"), "url", "html",
@@ -223,6 +224,7 @@ def pages_of(records: DataFrame) -> DataFrame:
         page("record_id").alias("page_id"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to"),
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).alias("payload_digest"), "digest")
+    rows = staged(records.sparkSession, rows, "warc-pages")  # read three times below; the archive but once
     responses = rows.filter("record_type = 'response'")
     known = responses.groupBy(F.col("page_id").alias("__id"), F.col("payload_digest").alias("__digest")).agg(
         F.max("payload_bytes").alias("__bytes"))
