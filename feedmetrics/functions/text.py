@@ -37,7 +37,7 @@ def strip(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.when(text != "", text)
+    return F.nullif(text, F.lit(""))
 
 
 def _squeeze(text: Column) -> Column:

@@ -12,8 +12,12 @@ from feedmetrics.functions.text import strip
 # Years 0001-9999, the span of ISO text.
 _MIN_EPOCH, _MAX_EPOCH = -62135596800, 253402300799
 
-_ISO = (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?"
-        r"(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)$")
+# Calendar or week date, with hyphens or without; any one character; a time with
+# colons or without, down to its hours; an offset.
+_CALENDAR = r"^(\d{4})(-?)(\d{2})\2(\d{2}).(?=\d)"
+_WEEK = r"^(\d{4})(-?)W(\d{2})(?:\2(\d))?.(?=\d)"
+_CLOCK = (r"^(\d{2})(?:(:?)(\d{2})(?:\2(\d{2})(?:[.,](\d+))?)?)?"
+          r"(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)$")
 
 
 def utc_text(ts: Column) -> Column:
@@ -34,17 +38,36 @@ def epoch_text(seconds: Column) -> Column:
     return F.date_format(epoch_timestamp(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def _week_day(year: Column, week: Column, day: Column) -> Column:
+    """Date of an ISO week date; null where the year has no such week, or the week no such day."""
+    fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in week 1
+    date = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week - 1) * 7 + day - 1)
+    return F.when(day.between(1, 7) & (F.extract(F.lit("YEAROFWEEK"), date) == year), date)
+
+
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text -> timestamp; null when malformed or without an offset.
 
-    The pattern is the guard: Spark by itself would read an offset-less text
-    in the session zone. Missing seconds and a decimal comma are put into the
-    form its parser takes; offsets beyond 18 hours stay null.
+    The patterns take the text apart, and the parts are put into the one form
+    that Spark's parser takes. Without an offset Spark would read the text in
+    the session zone. Offsets beyond 18 hours stay null.
     """
     value = strip(text)
-    parsable = F.regexp_replace(F.replace(value, F.lit(","), F.lit(".")),
-                                r"^(.{13}:\d{2})(Z|[+-])", "$1:00$2")
-    return F.when(value.rlike(_ISO), F.try_to_timestamp(parsable))
+
+    def part(pattern: str, group: int, of: Column = value) -> Column:
+        return F.nullif(F.regexp_extract(of, pattern, group), F.lit(""))
+
+    week = [part(_WEEK, group).try_cast("int") for group in (1, 3, 4)]
+    by_week = F.date_format(_week_day(week[0], week[1], F.coalesce(week[2], F.lit(1))), "yyyy-MM-dd")
+    by_date = F.concat_ws("-", *(part(_CALENDAR, group) for group in (1, 3, 4)))
+    date = F.when(value.rlike(_CALENDAR), by_date).when(value.rlike(_WEEK), by_week)
+    rest = F.when(value.rlike(_CALENDAR), F.regexp_replace(value, _CALENDAR, "")).otherwise(
+        F.regexp_replace(value, _WEEK, ""))
+    zero = F.lit("00")
+    clock = F.concat(part(_CLOCK, 1, rest), F.lit(":"), F.coalesce(part(_CLOCK, 3, rest), zero), F.lit(":"),
+                     F.coalesce(part(_CLOCK, 4, rest), zero), F.lit("."), F.coalesce(part(_CLOCK, 5, rest), zero),
+                     part(_CLOCK, 6, rest))
+    return F.when(rest.rlike(_CLOCK), F.try_to_timestamp(F.concat(date, F.lit(" "), clock)))
 
 
 def iso_text(text: Column) -> Column:
@@ -100,10 +123,15 @@ def default_dates(now: dt.datetime | None = None) -> tuple[str, str]:
 
 
 def stamp(now: dt.datetime | None = None) -> str:
-    return (now or utc_now()).astimezone(dt.timezone.utc).isoformat().replace("+00:00", "Z")
+    moment = (now or utc_now()).astimezone(dt.timezone.utc)
+    fraction = f".{moment.microsecond:06d}" if moment.microsecond else ""
+    return f"{moment:%Y-%m-%dT%H:%M:%S}{fraction}Z"
+
+
+_EPOCH, _DAY_SECONDS = dt.date(1970, 1, 1), 86_400
 
 
 def day_epoch_range(day: str) -> tuple[int, int]:
-    """[start, end) of a UTC day in epoch seconds."""
-    start = dt.datetime.combine(parse_day(day), dt.time.min, tzinfo=dt.timezone.utc)
-    return int(start.timestamp()), int((start + dt.timedelta(days=1)).timestamp())
+    """Epoch seconds at which a UTC day begins and the next one does."""
+    number = (parse_day(day) - _EPOCH).days
+    return number * _DAY_SECONDS, (number + 1) * _DAY_SECONDS

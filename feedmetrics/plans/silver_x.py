@@ -121,12 +121,14 @@ def post_tags(flat: DataFrame, data_date: str, ingest_date: str, processed_at: s
     """Distinct lower-cased hashtags of a post, one leading # removed."""
     entries = (flat.where(F.col("source_post_id").isNotNull())
                .select("seq", _post_id(), "created",
-                       F.posexplode("hashtags").alias("tag_pos", "entry")))
-    cleaned = F.coalesce(clean_text(F.col("entry.text")), clean_text(F.col("entry.alternative")))
-    marked = entries.withColumn("tag", cleaned).where(F.col("tag").isNotNull())
-    body = clean_text(F.when(F.col("tag").startswith("#"), F.substr("tag", F.lit(2))))
-    bare = F.when(F.col("tag").startswith("#"), body).otherwise(F.col("tag"))
-    tagged = marked.withColumn("tag", F.lower(bare)).where(F.col("tag").isNotNull())
+                       F.posexplode(F.array_distinct("hashtags")).alias("tag_pos", "entry")))
+    # Columns of their own: inside a conditional each use would call Python again.
+    cleaned = (entries.withColumn("text", clean_text(F.col("entry.text")))
+               .withColumn("alternative", clean_text(F.col("entry.alternative"))))
+    marked = cleaned.withColumn("tag", F.coalesce("text", "alternative")).where(F.col("tag").isNotNull())
+    bodies = marked.withColumn("body", clean_text(F.when(F.col("tag").startswith("#"), F.substr("tag", F.lit(2)))))
+    bare = F.when(F.col("tag").startswith("#"), F.col("body")).otherwise(F.col("tag"))
+    tagged = bodies.withColumn("tag", F.lower(bare)).where(F.col("tag").isNotNull())
     first = keep_first(tagged, ["post_id", "tag"], ["seq", "tag_pos"])
     return conform(first.select(
         "post_id", "tag", F.lit("hashtag").alias("tag_type"),
