@@ -12,14 +12,11 @@ from feedmetrics.session import shared_dir
 def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first k rows of each group, numbered 1..k in ``rank``.
 
-    For the usual small k the filter on row_number becomes a WindowGroupLimit
-    ahead of the shuffle: a task sends at most k rows of a group, so the size
-    of a group does not matter. Spark does that up to a threshold; a larger k
-    goes through the complete ranking.
+    The filter on row_number becomes a WindowGroupLimit ahead of the shuffle: a
+    task sends at most k rows of a group, so the size of a group does not
+    matter. Spark does that up to spark.sql.optimizer.windowGroupLimitThreshold
+    rows; for rankings that may be longer there is ``rank_all``.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > threshold:
-        return rank_all(df, groups, order).where(F.col("rank") <= k)
     window = Window.partitionBy(*groups).orderBy(*order)
     return (df.withColumn("rank", F.row_number().over(window).cast("bigint"))
             .where(F.col("rank") <= k))
@@ -30,24 +27,27 @@ def rank_all(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> D
 
     A window over the group would sort all of a day's tags in one task. Here
     the rows are range-partitioned by group and order, so a large group spans
-    many partitions; a row's rank is its number inside its partition plus the
-    sizes of the group's earlier partitions. Partition ids must mean the same
-    in both uses, hence the checkpoint, which is also where lineage ends.
-    Order must be total, or ties may be numbered either way.
+    many partitions, and sorted within each: the one full shuffle. A row's rank
+    is its place among the group's rows of its partition plus the sizes of the
+    group's earlier partitions, a small table. Partition and place must mean the
+    same in both uses, hence the checkpoint, which is also where lineage ends;
+    building the ranking runs it. Order must be total, or ties may be numbered
+    either way.
     """
     shared_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(*groups, *order)
-              .withColumn("_part", F.spark_partition_id())
+    placed = (df.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
+              .withColumn("_place", F.monotonically_increasing_id())  # partition in the high bits, then position
               .checkpoint())
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
     # One row per (group, partition it touches): groups + partitions at most.
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_size"))
-               .select(*groups, "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
-    inside = Window.partitionBy("_part", *groups).orderBy(*order)
-    return (ranged.withColumn("_number", F.row_number().over(inside))
-            .join(offsets, [*groups, "_part"])
-            .withColumn("rank", F.col("_number") + F.col("_offset"))
-            .drop("_part", "_number", "_offset"))
+    offsets = (placed.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first"))
+               .select(*(F.col(name).alias(f"_{name}") for name in groups), F.col("_part").alias("_its_part"),
+                       (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
+    own = F.col("_part") == F.col("_its_part")
+    for name in groups:
+        own &= F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return placed.join(offsets, own).withColumn("rank", F.col("_place") + F.col("_shift")).select(*df.columns, "rank")
 
 
 def presentation_order(df: DataFrame) -> DataFrame:

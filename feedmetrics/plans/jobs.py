@@ -7,7 +7,8 @@ the clock inside a plan, so a run can be repeated with the same result.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,7 @@ from feedmetrics.operators.quality import report_of_writes
 from feedmetrics.plans import gold, silver_hn, silver_x
 from feedmetrics.plans.views import register_views
 from feedmetrics.schemas import GOLD, HN, PLATFORM_KEYS, X
-from feedmetrics.session import scratch_dir
+from feedmetrics.session import drop_scratch, scratch_dir
 from feedmetrics.sources import bronze, lake, pages, warehouse
 
 DEFAULT_X_DATASET = "x-synthetic-seed"
@@ -31,13 +32,16 @@ def require_root(root: str | None, name: str) -> str:
     return root.rstrip("/")
 
 
-def _as_list(value) -> list:
-    if isinstance(value, str):
-        return [value]
-    try:
-        return list(value)
-    except TypeError as error:
-        raise ValueError(f"Expected a list-compatible value, got: {value}") from error
+def _chosen(what: str, names: str | Iterable[str] | None, known: Iterable[str]) -> list[str]:
+    """The names asked for, or all known ones; an error names those that are not known."""
+    known = list(known)
+    if not names:
+        return known
+    asked = list(names) if isinstance(names, Iterable) and not isinstance(names, str) else [names]
+    strange = sorted({str(name) for name in asked} - set(known))
+    if strange:
+        raise ValueError(f"No such {what}: {strange}; there are {known}")
+    return asked
 
 
 def resolve_days(data_date: str | None, ingest_date: str | None, now: dt.datetime | None = None) -> tuple[str, str]:
@@ -50,48 +54,47 @@ def resolve_days(data_date: str | None, ingest_date: str | None, now: dt.datetim
 
 def resolve_load_request(platforms=None, datasets=None, mode: str | None = None,
                          data_date: str | None = None, now: dt.datetime | None = None):
-    """(platforms, datasets, day), all checked."""
-    platforms = _as_list(platforms or list(PLATFORM_KEYS))
-    unknown = [str(name) for name in platforms if name not in PLATFORM_KEYS]
-    if unknown:
-        raise ValueError("Unsupported platform(s): " + ", ".join(unknown))
-    if (mode or "replace_date") != "replace_date":
-        raise ValueError(f"Unsupported loader mode: {mode}")
-    datasets = _as_list(datasets) if datasets else None
-    for key in platforms:
-        unknown = [str(name) for name in datasets or () if name not in GOLD[PLATFORM_KEYS[key]]]
-        if unknown:
-            raise ValueError(f"Unsupported dataset(s) for {key}: " + ", ".join(unknown))
+    """(platforms, datasets, day) of a load, checked; datasets is None for all of each platform."""
+    if mode not in (None, "", "replace_date"):
+        raise ValueError(f"A load replaces a date; it has no mode {mode!r}")
     day = data_date or default_dates(now)[1]
     parse_day(day)
-    return platforms, datasets, day
+    platforms = _chosen("platform", platforms, PLATFORM_KEYS)
+    shared = [name for name in GOLD[PLATFORM_KEYS[platforms[0]]]
+              if all(name in GOLD[PLATFORM_KEYS[key]] for key in platforms)]
+    return platforms, _chosen("dataset of the chosen platforms", datasets, shared) if datasets else None, day
 
 
 # --- bronze ----------------------------------------------------------------
 
 def collect_hn_day(spark: SparkSession, pages_root: str, bronze_root: str, data_date: str | None = None,
-                   ingest_date: str | None = None) -> dict:
-    """Landed API pages -> typed bronze items and a manifest."""
+                   ingest_date: str | None = None, max_pages: int | None = None) -> dict:
+    """Landed API pages -> typed bronze items and a manifest. ``max_pages`` per window; without it, all."""
     pages_root, bronze_root = require_root(pages_root, "pages_root"), require_root(bronze_root, "bronze_root")
     data_date, ingest_date = resolve_days(data_date, ingest_date)
-    items = bronze.add_item_type(pages.collect_items(pages.read_pages(spark, pages_root)))
-    # Written once, then read back for the manifest: the collection is not computed twice.
-    collected = _staged(spark, items, "collect")
-    bronze.write_hn_items(collected, bronze_root, ingest_date, data_date)
-    manifest = bronze.manifest(collected, bronze_root, ingest_date, data_date)
-    bronze.write_manifest(manifest, bronze_root, ingest_date, data_date)
-    return {"source": "hacker-news", "layer": "bronze", "manifest": manifest}
+    items = bronze.add_item_type(pages.collect_items(pages.read_pages(spark, pages_root), max_pages))
+    # Written once, then read for the bronze files and the manifest.
+    with _staged(spark, items, "collect") as collected:
+        bronze.write_hn_items(collected, bronze_root, ingest_date, data_date)
+        manifest = bronze.manifest(collected, bronze_root, ingest_date, data_date)
+        bronze.write_manifest(manifest, bronze_root, ingest_date, data_date)
+    landed = bronze.read_manifest(spark, manifest.schema, bronze_root, ingest_date, data_date)
+    return {"source": "hacker-news", "layer": "bronze", "manifest": landed}
 
 
-def _staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Writes an intermediate table to the shared folder and reads it back.
+@contextmanager
+def _staged(spark: SparkSession, df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """An intermediate table in the shared folder, there until the block ends.
 
     Several outputs then start from columnar files, read only their columns
     and need nothing from before when an executor is lost.
     """
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop_scratch(spark, path)
 
 
 # --- silver ----------------------------------------------------------------
@@ -114,8 +117,9 @@ def hn_silver(spark: SparkSession, bronze_root: str, silver_root: str, data_date
     data_date, ingest_date = resolve_days(data_date, ingest_date)
     run = (data_date, ingest_date, processed_at or stamp())
     items = bronze.read_hn(spark, bronze_root, ingest_date, data_date, layout)
-    flat = _staged(spark, silver_hn.flatten(items), "hn-items")
-    return _write_silver(spark, silver_hn.silver_tables(flat, *run, profiles=profiles), HN, silver_root, run, mode)
+    with _staged(spark, silver_hn.flatten(items), "hn-items") as flat:
+        tables = silver_hn.silver_tables(flat, *run, profiles=profiles)
+        return _write_silver(spark, tables, HN, silver_root, run, mode)
 
 
 def x_silver(spark: SparkSession, bronze_root: str, silver_root: str, ingest_date: str | None = None,
@@ -127,22 +131,23 @@ def x_silver(spark: SparkSession, bronze_root: str, silver_root: str, ingest_dat
     data_date, ingest_date = resolve_days(data_date or ingest_date, ingest_date)
     run = (data_date, ingest_date, processed_at or stamp())
     items = bronze.read_x(spark, bronze_root, ingest_date, dataset_name or DEFAULT_X_DATASET, layout)
-    flat = _staged(spark, silver_x.flatten(items), "x-items")
-    return _write_silver(spark, silver_x.silver_tables(flat, *run), X, silver_root, run, mode)
+    with _staged(spark, silver_x.flatten(items), "x-items") as flat:
+        return _write_silver(spark, silver_x.silver_tables(flat, *run), X, silver_root, run, mode)
 
 
 # --- gold ------------------------------------------------------------------
 
 def hn_gold(spark: SparkSession, silver_root: str, gold_root: str, data_date: str | None = None,
             processed_at: str | None = None, mode: str = "overwrite_partitions",
-            all_created_days: bool = False) -> dict:
+            strict_created_day: bool = False) -> dict:
     """HN gold of a day, or of all days without one.
 
-    Reads the day's own partition, so a post created on another day than its
-    data date is left out; ``all_created_days`` scans the platform instead.
+    A post counts on its data date, whatever day it was created on.
+    ``strict_created_day`` reads the day's own partition alone and leaves out
+    posts created on another day.
     """
     silver_root, gold_root = require_root(silver_root, "silver_root"), require_root(gold_root, "gold_root")
-    pruned = None if all_created_days else data_date
+    pruned = data_date if strict_created_day else None
     if data_date:
         parse_day(data_date)
     silver = {name: on_day(lake.read_silver(spark, silver_root, name, HN, pruned), data_date)

@@ -39,11 +39,6 @@ def day_text(column: str) -> Column:
     return F.date_format(F.col(column).cast("timestamp"), "yyyy-MM-dd")
 
 
-def month_text(column: str) -> Column:
-    """The first day of the month, for feeds that are written by day."""
-    return F.date_format(F.trunc(F.col(column).cast("date"), "month"), "yyyy-MM-dd")
-
-
 def _dated(day: Column) -> dict[str, Column]:
     return {"data_date": day, "year": F.substring(day, 1, 4), "month": F.substring(day, 6, 2),
             "day": F.substring(day, 9, 2), "ingest_date": F.lit(INGEST),
@@ -78,8 +73,8 @@ def hn_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def x_users(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per order month and customer."""
-    orders = (table(spark, sf, "orders").groupBy(month_text("o_orderdate").alias("date"), "o_custkey")
+    """One row per order day and customer."""
+    orders = (table(spark, sf, "orders").groupBy(day_text("o_orderdate").alias("date"), "o_custkey")
               .agg(F.floor(F.max("o_totalprice")).cast("bigint").alias("followers"),
                    F.count(F.lit(1)).alias("following"),
                    F.max(F.col("o_orderpriority") == "1-URGENT").alias("verified")))
@@ -231,7 +226,7 @@ def x_items(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(kind.alias("type"), F.col("o_custkey").alias("id"), F.lit("u").alias("tweet_id"))))
     item = _json(F.col("o_orderkey").alias("id"),
                  F.concat(F.lit("  "), "o_orderpriority", F.lit(" &amp;\n <b>"), "o_orderstatus").alias("text"),
-                 F.lit(" en ").alias("lang"), F.lit("web").alias("source"), created_text(month_text("o_orderdate")).alias("created_at"),
+                 F.lit(" en ").alias("lang"), F.lit("web").alias("source"), created_text(day_text("o_orderdate")).alias("created_at"),
                  user.alias("user"), metrics.alias("metrics"), hashtags.alias("hashtags"),
                  entities.alias("entities"), references.alias("referenced_tweets"))
     return orders.select(F.struct(F.col("o_orderkey").alias("pos")).alias("seq"), item)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from feedmetrics.functions import casts
 from feedmetrics.functions.times import utc_text
-from feedmetrics.operators.quality import column_contract, conform
+from feedmetrics.operators.days import on_day
+from feedmetrics.operators.quality import column_contract, conform, quality_report
 from feedmetrics.plans import alerts, gold, jobs, views
 from feedmetrics.queries import feeds, sql
 from feedmetrics.queries.feeds import DAY, INGEST, RUN, STAMP, table
 from feedmetrics.queries.registry import query
-from feedmetrics.schemas import GOLD, HN, HN_ITEM_TYPES, SILVER, WAREHOUSE, X
+from feedmetrics.schemas import GOLD, HN, HN_ITEM_TYPES, PLATFORM_KEYS, SILVER, WAREHOUSE, X, warehouse_table
 from feedmetrics.session import scratch_dir
 from feedmetrics.sources import bronze, lake, pages, warehouse
 from feedmetrics.streaming.alarms import error_alarms
@@ -26,7 +27,7 @@ _PAGES = """(SELECT l_orderkey AS w, l_linenumber - 1 AS p, min(l_partkey) AS pa
   FROM lineitem GROUP BY ALL)"""
 _USABLE = f"""(SELECT * FROM (SELECT *,
     count(*) FILTER (WHERE copies = 1) OVER (PARTITION BY w ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-      AS passed FROM {_PAGES}) WHERE p < 5 AND copies <= 2 AND passed = p)"""
+      AS passed FROM {_PAGES}) WHERE copies <= 2 AND passed = p)"""
 _MARKERS = "['story', 'comment', 'job', 'poll', 'ask_hn', 'other', 'other']"
 _COLLECTED = f"""(
   SELECT w, p, 0 AS pos, 'p' || part AS object_id, {_MARKERS}[CAST(p AS INTEGER) + 1] AS marker
@@ -343,7 +344,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY date, post_type ORDER BY score D
 def job_hn_gold(spark, sf):
     """Bronze to gold for a day whose posts were created on other days too."""
     root = _hn_silver(spark, sf)
-    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", DAY, STAMP, all_created_days=True)
+    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", DAY, STAMP)
     return reduce(DataFrame.unionByName, (
         lake.read_gold(spark, f"{root}/gold", HN, name, DAY)[0] for name in ("top_story_posts", "top_job_posts")))
 
@@ -354,11 +355,11 @@ SELECT {sql.base(HN)}, {", ".join(f"count(*) FILTER (WHERE t = '{k}') AS {k}_cou
 FROM (SELECT '2024-01-15' AS date, {sql.choose('event_type', feeds.ITEM_TYPE)} AS t FROM events
       WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15') GROUP BY date""")
 def job_hn_gold_strict(spark, sf):
-    """As deployed: only the day's own partition is read."""
+    """The strict form: only the day's own partition is read."""
     root = scratch_dir(spark, "job")
     bronze.write_hn_items(feeds.hn_items(spark, sf), f"{root}/bronze", INGEST, "2024-01-15")
     jobs.hn_silver(spark, f"{root}/bronze", f"{root}/silver", "2024-01-15", INGEST, STAMP)
-    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", "2024-01-15", STAMP)
+    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", "2024-01-15", STAMP, strict_created_day=True)
     return lake.read_gold(spark, f"{root}/gold", HN, "daily_item_counts", "2024-01-15")[0]
 
 
@@ -369,47 +370,71 @@ def job_x_gold(spark, sf):
     return lake.read_gold(spark, f"{root}/gold", X, "hashtag_trends", DAY)[0]
 
 
-def _loaded(spark, sf) -> tuple[str, DataFrame]:
-    """Typed feeds to gold on all days, the last day of events loaded."""
+HN_LOAD_DAY = "2024-01-15"
+_X_LOAD_DAY = "(SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders)"
+
+
+def _loaded(spark, sf) -> tuple[str, dict[str, str], DataFrame]:
+    """Gold of a day of events and of the last day of orders, loaded into one warehouse.
+
+    Gives the database, the day of each platform and the report of both loads.
+    """
     root, database = scratch_dir(spark, "job"), f"warehouse_{uuid.uuid4().hex[:12]}"
-    silver = {"users": feeds.hn_users(spark, sf), "posts": feeds.hn_posts(spark, sf),
-              "data_quality_report": spark.createDataFrame([], SILVER["data_quality_report"])}
-    lake.write_silver(spark, silver, f"{root}/silver")
-    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", None, STAMP)
-    report = jobs.load_warehouse(spark, f"{root}/gold", database, f"{root}/warehouse", data_date="2024-01-15")
-    return database, report
-
-
-_ON_DAY = "WHERE date = '2024-01-15'"
-_LOADED = {
-    "daily_item_counts": sql.DAILY_ITEM_COUNTS, "daily_users_metric": sql.daily_users_metric(sql.HN_USERS, HN),
-    "top_story_posts": sql.top_posts_by_score("story"), "top_job_posts": sql.top_posts_by_score("job"),
-    "top_users_by_karma": sql.top_users_by_karma("DESC"), "bottom_users_by_karma": sql.top_users_by_karma("ASC"),
+    days = {HN: HN_LOAD_DAY,
+            X: table(spark, sf, "orders").agg(F.max(feeds.day_text("o_orderdate"))).first()[0]}
+    none = {name: spark.createDataFrame([], SILVER[name]) for name in ("post_tags", "post_relations")}
+    silver = {HN: {"users": feeds.hn_users(spark, sf), "posts": feeds.hn_posts(spark, sf), **none},
+              X: feeds.x_silver(spark, sf)}
+    build = {HN: gold.hn_gold_tables, X: gold.x_gold_tables}
+    for platform, tables in silver.items():
+        tables["data_quality_report"] = quality_report(tables, platform, days[platform], INGEST, STAMP)
+        on_its_day = {name: on_day(rows, days[platform]) for name, rows in tables.items()}
+        lake.write_gold(spark, build[platform](on_its_day, STAMP), f"{root}/gold", platform)
+    reports = [jobs.load_warehouse(spark, f"{root}/gold", database, f"{root}/warehouse", key, data_date=days[platform])
+               for key, platform in PLATFORM_KEYS.items()]
+    return database, days, reduce(DataFrame.unionByName, reports)
+
+
+_GOLD_SQL = {
+    HN: {"daily_item_counts": sql.DAILY_ITEM_COUNTS, "daily_users_metric": sql.daily_users_metric(sql.HN_USERS, HN),
+         "top_story_posts": sql.top_posts_by_score("story"), "top_job_posts": sql.top_posts_by_score("job"),
+         "top_users_by_karma": sql.top_users_by_karma("DESC"), "bottom_users_by_karma": sql.top_users_by_karma("ASC")},
+    X: {"daily_users_metric": sql.daily_users_metric(sql.X_USERS, X),
+        "top_users_by_followers": sql.TOP_USERS_BY_FOLLOWERS, "top_posts_by_engagement": sql.TOP_POSTS_BY_ENGAGEMENT,
+        "hashtag_trends": sql.hashtag_trends()},
 }
+_ON_DAY = {HN: f"WHERE date = '{HN_LOAD_DAY}'", X: f"WHERE date = {_X_LOAD_DAY}"}
+
+
+def _loaded_rows(platform: str, dataset: str) -> str:
+    """SQL for how many rows of a dataset the load finds; a quality report has one for each of four tables."""
+    if dataset == "data_quality_summary":
+        return "4"
+    return f"(SELECT count(*) FROM ({_GOLD_SQL[platform][dataset]}) {_ON_DAY[platform]})"
+
+
 _REPORT_ROWS = " UNION ALL ".join(
-    [f"SELECT 'hacker-news' AS platform, '{name}' AS dataset, 'hn_{name}' AS table_name, "
-     f"(SELECT count(*) FROM ({text}) {_ON_DAY}) AS n" for name, text in _LOADED.items()]
-    + ["SELECT 'hacker-news', 'data_quality_summary', 'hn_data_quality_summary', 0"]
-    + [f"SELECT 'x', '{name}', 'x_{name}', 0" for name in GOLD[X]])
+    f"SELECT '{key}' AS platform, '{dataset}' AS dataset, '{warehouse_table(platform, dataset)}' AS table_name, "
+    f"{_loaded_rows(platform, dataset)} AS n" for key, platform in PLATFORM_KEYS.items() for dataset in GOLD[platform])
 
 
 @query("load_report", f"""
 SELECT platform, dataset, table_name, n AS loaded_row_count, n AS inserted_row_count, n = 0 AS missing_files,
   n = 0 AS skipped FROM ({_REPORT_ROWS})""")
 def load_report(spark, sf):
-    return _loaded(spark, sf)[1].drop("path", "partition_filter")
+    return _loaded(spark, sf)[2].drop("path", "partition_filter")
 
 
 _ACTIVITY = f"""
 SELECT date, i.platform, i.year, i.month, i.day, {_ITEM_COUNTS}, total_users, active_users,
-  i.gold_processed_at_utc FROM ({sql.DAILY_ITEM_COUNTS}) i JOIN ({_LOADED['daily_users_metric']}) u USING (date)
-{_ON_DAY}"""
+  i.gold_processed_at_utc FROM ({sql.DAILY_ITEM_COUNTS}) i JOIN ({_GOLD_SQL[HN]['daily_users_metric']}) u USING (date)
+{_ON_DAY[HN]}"""
 
 
 @query("job_load_and_views", _ACTIVITY)
 def job_load_and_views(spark, sf):
     """Gold to warehouse to dashboard view."""
-    database, _ = _loaded(spark, sf)
+    database, _, _ = _loaded(spark, sf)
     jobs.apply_views(spark, database)
     view = spark.table("vw_hn_daily_activity")
     return view.withColumns({"date": F.col("date").cast("string"),
@@ -417,31 +442,63 @@ def job_load_and_views(spark, sf):
 
 
 _VIEW_ROWS = {
-    "vw_hn_daily_activity": [_LOADED["daily_item_counts"]], "vw_x_daily_activity": [],
-    "vw_hn_top_posts": [_LOADED["top_story_posts"], _LOADED["top_job_posts"]],
-    "vw_hn_top_users": [_LOADED["top_users_by_karma"], _LOADED["bottom_users_by_karma"]],
-    "vw_x_top_posts": [], "vw_x_top_users": [], "vw_x_hashtag_trends": [], "vw_data_quality_score": [],
+    "vw_hn_daily_activity": [(HN, "daily_item_counts")], "vw_x_daily_activity": [(X, "daily_users_metric")],
+    "vw_hn_top_posts": [(HN, "top_story_posts"), (HN, "top_job_posts")],
+    "vw_hn_top_users": [(HN, "top_users_by_karma"), (HN, "bottom_users_by_karma")],
+    "vw_x_top_posts": [(X, "top_posts_by_engagement")], "vw_x_top_users": [(X, "top_users_by_followers")],
+    "vw_x_hashtag_trends": [(X, "hashtag_trends")],
+    "vw_data_quality_score": [(HN, "data_quality_summary"), (X, "data_quality_summary")],
 }
 
 
 @query("view_counts", " UNION ALL ".join(
-    f"SELECT '{view}' AS view_name, "
-    + (" + ".join(f"(SELECT count(*) FROM ({text}) {_ON_DAY})" for text in texts) or "0") + " AS row_count"
-    for view, texts in _VIEW_ROWS.items()))
+    f"SELECT '{view}' AS view_name, {' + '.join(_loaded_rows(*source) for source in sources)} AS row_count"
+    for view, sources in _VIEW_ROWS.items()))
 def view_counts(spark, sf):
-    database, _ = _loaded(spark, sf)
+    database, _, _ = _loaded(spark, sf)
     jobs.apply_views(spark, database)
     if views.missing_views(spark):
         raise ValueError(f"Views are missing: {views.missing_views(spark)}")
     return views.view_counts(spark)
 
 
-@query("warehouse_tables", " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, "
-    + (f"(SELECT count(*) FROM ({_LOADED[dataset]}) {_ON_DAY})" if platform == HN and dataset in _LOADED else "0")
-    + " AS row_count" for name, (platform, dataset) in WAREHOUSE.items()))
-def warehouse_tables(spark, sf):
-    database, _ = _loaded(spark, sf)
+def _table_counts(spark, database: str, days: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, (
-        warehouse.day_rows(spark, database, name, "2024-01-15").agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count") for name in WAREHOUSE))
+        warehouse.day_rows(spark, database, name, days[platform]).agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count") for name, (platform, _) in WAREHOUSE.items()))
+
+
+_TABLE_ROWS = " UNION ALL ".join(f"SELECT '{name}' AS table_name, {_loaded_rows(*source)} AS row_count"
+                                 for name, source in WAREHOUSE.items())
+
+
+@query("warehouse_tables", _TABLE_ROWS)
+def warehouse_tables(spark, sf):
+    """The rows of each table, in a second database over the same folders; checked against the first one's."""
+    database, days, report = _loaded(spark, sf)
+    for row in report.collect():
+        day = days[PLATFORM_KEYS[row.platform]]
+        warehouse.check_day_count(spark, database, row.table_name, day, row.loaded_row_count)
+    location = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()["info_value"]
+    warehouse.create_tables(spark, f"{database}_again", location)
+    return _table_counts(spark, f"{database}_again", days)
+
+
+@query("load_rollback", _TABLE_ROWS)
+def load_rollback(spark, sf):
+    """A load with one unreadable dataset changes no table."""
+    database, days, _ = _loaded(spark, sf)
+    loads = [warehouse.Load(platform, dataset, name, "", {}, warehouse.day_rows(spark, database, name, days[platform])
+                            .limit(0), False) for name, (platform, dataset) in WAREHOUSE.items() if platform == HN]
+    broken = loads[-1]
+    broken.rows = broken.rows.sparkSession.range(1).select(
+        F.raise_error(F.lit("unreadable")).cast("string").alias("platform"),
+        *(F.lit(None).alias(f.name) for f in warehouse.table_schema(broken.table) if f.name != "platform"))
+    try:
+        warehouse.load_all_or_nothing(spark, database, loads, days[HN])
+    except Exception as error:  # noqa: BLE001  whatever Spark wraps it in
+        if "unreadable" not in str(error):
+            raise
+    else:
+        raise ValueError("the broken load went through")
+    return _table_counts(spark, database, days)

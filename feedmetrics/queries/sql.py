@@ -76,7 +76,7 @@ HN_USERS = _silver(
         "karma_score": "karma"})
 
 X_USERS = _silver(
-    "users", X, "(SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date, o_custkey, floor(max(o_totalprice)) AS followers, "
+    "users", X, "(SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, o_custkey, floor(max(o_totalprice)) AS followers, "
     "count(*) AS following, bool_or(o_orderpriority = '1-URGENT') AS verified FROM orders GROUP BY ALL) "
     "JOIN customer ON o_custkey = c_custkey", "date", {
         "user_id": x_user_id("CAST(o_custkey AS VARCHAR)"), "source_user_id": "o_custkey", "username": "c_name",
@@ -233,7 +233,7 @@ def created_ts(day_sql: str) -> str:
             f"WHEN '5-LOW' THEN {day_sql} + INTERVAL 8 HOUR + INTERVAL 14 MINUTE END")
 
 
-CREATED_TS = created_ts("CAST(date_trunc('month', o_orderdate) AS TIMESTAMP)")
+CREATED_TS = created_ts("CAST(o_orderdate AS TIMESTAMP)")
 _X_CREATED = ("CASE WHEN o_orderpriority = '2-HIGH' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.500000Z' "
               "ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END")
 _POST_KEY = "CAST(o_orderkey AS VARCHAR)"

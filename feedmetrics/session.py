@@ -63,6 +63,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Removes a folder made under ``scratch_dir``, once nothing reads it any more."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run_together(spark: SparkSession, actions: Iterable[Callable], at_once: int = 8) -> list:
     """Runs independent Spark actions at the same time; results in order.
 

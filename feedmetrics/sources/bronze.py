@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from feedmetrics.functions import casts, classify
 from feedmetrics.functions.times import day_epoch_range, parse_day
@@ -67,18 +69,22 @@ def write_manifest(row: DataFrame, root: str, ingest_date: str, data_date: str)
     row.write.mode("overwrite").json(f"{hn_folder(root, ingest_date, data_date)}/metadata")
 
 
+def read_manifest(spark: SparkSession, schema: T.StructType, root: str, ingest_date: str, data_date: str) -> DataFrame:
+    return spark.read.schema(schema).json(f"{hn_folder(root, ingest_date, data_date)}/metadata")
+
+
 def read_hn(spark: SparkSession, root: str, ingest_date: str, data_date: str,
             layout: str = "auto") -> DataFrame:
     """seq, item_type, item of one collected day.
 
     Layouts: ``lines`` (written here), ``document`` and ``indented`` (one JSON
     array per type in ``<type>/part-000.json``; see json_arrays). ``auto``
-    takes lines when they are there, else document. Of the array layouts all
-    five files must exist.
+    takes lines when they are there, else reads each array by the form it has,
+    whatever its size. Of the array layouts all five files must exist.
     """
     folder = hn_folder(root, ingest_date, data_date)
-    if layout == "auto":
-        layout = "lines" if files.exists(spark, f"{folder}/lines") else "document"
+    if layout == "auto" and files.exists(spark, f"{folder}/lines"):
+        layout = "lines"
     if layout == "lines":
         if not files.exists(spark, f"{folder}/lines"):
             raise FileNotFoundError(f"Missing bronze folder: {folder}/lines")
@@ -86,14 +92,17 @@ def read_hn(spark: SparkSession, root: str, ingest_date: str, data_date: str,
                 .json(f"{folder}/lines")
                 .select(F.struct(_type_rank(F.col("item_type")).alias("type_rank"), "window_start", "page", "pos")
                         .alias("seq"), "item_type", "item"))
-    if layout not in ("document", "indented"):
-        raise ValueError(f"Unsupported bronze layout: {layout}")
+    if layout not in ("auto", "document", "indented"):
+        raise ValueError(f"There is no bronze layout {layout!r}")
     paths = [f"{folder}/{name}/part-000.json" for name in HN_ITEM_TYPES]
     for path in paths:
         if not files.is_file(spark, path):
             raise FileNotFoundError(f"Missing bronze file: {path}")
-    scan = json_arrays.scan_documents if layout == "document" else json_arrays.scan_indented
-    return (scan(spark, paths)
+    indented = [path for path in paths
+                if layout == "indented" or layout == "auto" and json_arrays.is_indented(spark, path)]
+    scans = [(json_arrays.scan_indented, indented),
+             (json_arrays.scan_documents, [path for path in paths if path not in indented])]
+    return (reduce(DataFrame.unionByName, (scan(spark, own) for scan, own in scans if own))
             .withColumn("item_type", F.regexp_extract("path", r"/([a-z]+)/part-000\.json$", 1))
             .select(F.struct(_type_rank(F.col("item_type")).alias("type_rank"), "seq").alias("seq"),
                     "item_type", "item"))
@@ -117,7 +126,9 @@ def read_x(spark: SparkSession, root: str, ingest_date: str, dataset_name: str,
     """
     folder = x_folder(root, ingest_date, dataset_name)
     if layout == "auto":
-        layout = "document" if files.is_file(spark, f"{folder}/tweets.json") else "lines"
+        layout = "lines"
+        if files.is_file(spark, f"{folder}/tweets.json"):
+            layout = "indented" if json_arrays.is_indented(spark, f"{folder}/tweets.json") else "document"
     if layout == "document":
         return (json_arrays.documents(spark, [f"{folder}/tweets.json"])
                 .select(F.posexplode(payload_items(F.col("document"))).alias("pos", "item"))
@@ -125,7 +136,7 @@ def read_x(spark: SparkSession, root: str, ingest_date: str, dataset_name: str,
     if layout == "indented":
         return json_arrays.scan_indented(spark, [f"{folder}/tweets.json"]).select("seq", "item")
     if layout != "lines":
-        raise ValueError(f"Unsupported bronze layout: {layout}")
+        raise ValueError(f"There is no bronze layout {layout!r}")
     if not files.exists(spark, f"{folder}/tweets"):
         raise FileNotFoundError(f"Missing bronze dataset: {folder}")
     return (spark.read.schema(X_LINES).option("mode", "FAILFAST").json(f"{folder}/tweets")

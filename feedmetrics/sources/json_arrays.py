@@ -30,6 +30,12 @@ def documents(spark: SparkSession, paths: list[str]) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("path"), F.parse_json("value").alias("document")))
 
 
+def is_indented(spark: SparkSession, path: str) -> bool:
+    """Whether a file is an array printed with an indent of two, told by what stands before its first element."""
+    head = spark.read.text(path, lineSep="{").first()
+    return head is not None and head.value.replace("\r", "") == "[\n  "
+
+
 def scan_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, seq, item of every array element."""
     items = array_or_fail(F.col("document"), F.col("path"))

@@ -28,18 +28,21 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str],
     replaces only the partitions the rows touch. The rebalance hint gathers a
     partition's rows into files of the advisory size and lets adaptive
     execution split a partition that is too large for one task. An empty
-    input writes nothing.
+    input writes nothing and leaves the table as it is, in every mode.
 
     Row and filled-cell counts are taken by the write itself. They are
     observed after the rebalance, in the final stage, where Spark counts each
     task once even if stages are run again.
     """
     if mode not in MODES:
-        raise ValueError(f"Unsupported write mode: {mode}")
+        raise ValueError(f"Write mode {mode!r} is none of {MODES}")
+    if mode == "overwrite" and df.isEmpty():
+        return {"row_count": 0, "non_null_cell_count": 0, "path": path, "written": False, "partitions_written": 0}
     named = df.withColumn("_filled", filled_cells(df.schema)).withColumns(
         {name: F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(UNKNOWN)) for name in partitions})
     seen = Observation()
-    # The set holds one entry per folder written, not per row.
+    # The set holds one entry per folder written, not per row; a dynamic
+    # overwrite's commit keeps the same list on the driver.
     observed = named.hint("rebalance", *partitions).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.sum("_filled").alias("filled"),
         F.size(F.collect_set(F.struct(*partitions))).alias("folders"))
@@ -65,7 +68,16 @@ def _write_tables(spark: SparkSession, tables: dict[str, DataFrame], path_of: Ca
                   partitions_of: Callable[[str], list[str]], mode: str) -> dict[str, dict]:
     writes = [partial(write_partitioned, df, path_of(name), partitions_of(name), mode)
               for name, df in tables.items()]
-    return dict(zip(tables, run_together(spark, writes)))
+    # Opening files is what a write to many small folders costs. Coalesced to the
+    # advisory size they would all be one task's; a folder is still one task's,
+    # unless it is large enough to be split.
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        return dict(zip(tables, run_together(spark, writes)))
+    finally:
+        spark.conf.set(coalesce, before)
 
 
 def write_silver(spark: SparkSession, tables: dict[str, DataFrame], root: str,
@@ -84,15 +96,17 @@ def write_gold(spark: SparkSession, tables: dict[str, DataFrame], root: str, pla
 
 # --- scans -----------------------------------------------------------------
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, at: dict[str, str] | None = None) -> DataFrame:
     """A Parquet folder with the given types; empty when it does not exist.
 
     The explicit schema also types the partition columns, so ``month=05``
-    stays text.
+    stays text. With the values of leading partition columns, ``at``, only that
+    folder is listed, however long the table's history is.
     """
-    if not files.exists(spark, path):
+    folder = "/".join([path, *(f"{name}={value}" for name, value in (at or {}).items())])
+    if not files.exists(spark, folder):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("basePath", path).parquet(folder)
 
 
 def partition_values(table: str, partitions: list[str], platform: str, day: str) -> dict[str, str]:
@@ -111,10 +125,15 @@ def _at(df: DataFrame, values: dict[str, str]) -> DataFrame:
 
 def read_silver(spark: SparkSession, root: str, table: str, platform: str, day: str | None = None) -> DataFrame:
     """A silver table, pruned to the platform and, if given, to the day's partition."""
-    df = _read(spark, f"{root.rstrip('/')}/{table}", SILVER[table])
-    if not day:
-        return _at(df, {"platform": platform})
-    return _at(df, partition_values(table, silver_partitions(table), platform, day))
+    values = {"platform": platform}
+    if day:
+        values = partition_values(table, silver_partitions(table), platform, day)
+    leading = {}
+    for name in silver_partitions(table):
+        if name not in values:
+            break
+        leading[name] = values[name]
+    return _at(_read(spark, f"{root.rstrip('/')}/{table}", SILVER[table], leading), values)
 
 
 def read_gold(spark: SparkSession, root: str, platform: str, dataset: str, day: str) -> tuple[DataFrame, bool]:
@@ -122,7 +141,7 @@ def read_gold(spark: SparkSession, root: str, platform: str, dataset: str, day:
     values = partition_values(dataset, gold_partitions(dataset), platform, day)
     path = gold_path(root, platform, dataset)
     leaf = "/".join([path, *(f"{name}={value}" for name, value in values.items())])
-    df = _at(_read(spark, path, GOLD[platform][dataset]), values)
+    df = _at(_read(spark, path, GOLD[platform][dataset], values), values)
     return df, not files.has_data_files(spark, leaf)
 
 

@@ -12,23 +12,31 @@ from feedmetrics.functions.times import parse_day
 from feedmetrics.operators.quality import conform
 from feedmetrics.schemas import (GOLD, PLATFORM_KEYS, WAREHOUSE, date_column, gold_partitions, warehouse_schema,
                                  warehouse_table)
-from feedmetrics.session import run_together, scratch_dir
-from feedmetrics.sources import lake
+from feedmetrics.session import drop_scratch, run_together, scratch_dir
+from feedmetrics.sources import files, lake
 
 
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
-    """The twelve tables, partitioned by platform and date; existing ones stay."""
+    """The twelve tables, partitioned by platform and date; existing ones stay.
+
+    Partitions that the location holds already, written through another catalog,
+    are registered with a new table.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name, (platform, dataset) in WAREHOUSE.items():
         schema = warehouse_schema(platform, dataset)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            continue
+        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet "
                   f"PARTITIONED BY (platform, {date_column(schema)}) LOCATION '{location}/{name}'")
+        if files.exists(spark, f"{location}/{name}"):
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
 
 
 def table_schema(table: str) -> T.StructType:
     if table not in WAREHOUSE:
-        raise ValueError(f"Unsupported warehouse table: {table}")
+        raise ValueError(f"There is no warehouse table {table!r}")
     return warehouse_schema(*WAREHOUSE[table])
 
 
@@ -111,12 +119,15 @@ def load_all_or_nothing(spark: SparkSession, database: str, loads: list[Load], d
             partial(replace_date, spark, database, load.table, _staged(spark, stage, version, load.table), day)
             for load in loads])
 
-    run_together(spark, [partial(prepare, load) for load in loads])
     try:
-        publish("new")
-    except Exception:
-        publish("old")
-        raise
+        run_together(spark, [partial(prepare, load) for load in loads])
+        try:
+            publish("new")
+        except Exception:
+            publish("old")
+            raise
+    finally:
+        drop_scratch(spark, stage)
 
 
 def _staged(spark: SparkSession, stage: str, version: str, table: str) -> DataFrame:
