@@ -91,7 +91,7 @@ def view_counts(spark: SparkSession) -> DataFrame:
 def check_views_filled(spark: SparkSession) -> None:
     empty = [row.view_name for row in view_counts(spark).where("row_count = 0").collect()]
     if empty:
-        raise ValueError("Expected views to contain rows: " + ", ".join(empty))
+        raise ValueError(f"Views without rows: {empty}")
 
 
 # --- dashboard queries ------------------------------------------------------

@@ -207,6 +207,18 @@ def latest_top_posts(spark, sf):
     return views.latest_date_rows(views.hn_top_posts(_tables(spark, sf)), [F.col("rank")])
 
 
+@query("latest_x_posts", f"SELECT * FROM ({sql.TOP_POSTS_BY_ENGAGEMENT}) WHERE date = "
+                         f"(SELECT max(date) FROM ({sql.TOP_POSTS_BY_ENGAGEMENT}))")
+def latest_x_posts(spark, sf):
+    return views.latest_date_rows(views.VIEWS["vw_x_top_posts"](_tables(spark, sf)), [F.desc("engagement_count")])
+
+
+@query("latest_x_users", f"SELECT * FROM ({sql.TOP_USERS_BY_FOLLOWERS}) WHERE date = "
+                         f"(SELECT max(date) FROM ({sql.TOP_USERS_BY_FOLLOWERS}))")
+def latest_x_users(spark, sf):
+    return views.latest_date_rows(views.VIEWS["vw_x_top_users"](_tables(spark, sf)), [F.desc("followers_count")])
+
+
 @query("latest_top_users", f"SELECT * FROM ({_TOP_USERS}) WHERE date = (SELECT max(date) FROM ({_TOP_USERS}))")
 def latest_top_users(spark, sf):
     return views.latest_date_rows(views.hn_top_users(_tables(spark, sf)), [F.col("user_bucket"), F.col("rank")])

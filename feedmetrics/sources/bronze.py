@@ -163,10 +163,10 @@ def land_x_dataset(spark: SparkSession, source: str, root: str, ingest_date: str
                              F.coalesce(~F.is_variant_null(declared), F.lit(False)).alias("declares"),
                              F.try_variant_get(declared, "$", "bigint").alias("declared")).first()
     if not checks.is_object:
-        raise ValueError(f"{source}/metadata.json must contain a JSON object.")
+        raise ValueError(f"No object in {source}/metadata.json")
     count = records.count()
     if checks.declares and checks.declared != count:
-        raise ValueError(f"record_count is {checks.declared}, but tweets.json contains {count} records.")
+        raise ValueError(f"{source}: metadata announces {checks.declared} records, the array has {count}")
 
     folder = x_folder(root, ingest_date, dataset_name)
     targets = [(f"{source}/tweets.json", f"{folder}/tweets"), (f"{source}/metadata.json", f"{folder}/metadata")]
