@@ -153,7 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 2
             yield pd.DataFrame({"place": batch["place"], "y": batch["y"], "index": [i.tobytes() for i, _ in found],
                                 "value": [v.tobytes() for _, v in found]})
 
-    rows = texts.join(chosen, "doc_id").select("text", "n_chars", "y", F.xxhash64("doc_id", "text").alias("place"))
+    # At most ``most_rows`` ids and labels, so the texts are not shuffled for them.
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "n_chars", "y", F.xxhash64("doc_id", "text").alias("place"))
     rows = staged(spark, rows.mapInPandas(extract, "place long, y int, index binary, value binary"), "fm-rows")
     count = rows.count()
     if not count:
