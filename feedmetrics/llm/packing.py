@@ -71,6 +71,12 @@ class WordEncoder:
     def _learn(self, words: set[bytes]) -> None:
         unusual = []
         for word in words:
+            if word.isalpha():  # ASCII letters: one piece
+                self.known[word] = self._piece(word.lower().decode())
+                continue
+            if word[-1] in b".," and word[:-1].isalpha():
+                self.known[word] = self._piece(word[:-1].lower().decode()) + self._piece(chr(word[-1]))
+                continue
             text = word.decode("utf-8")
             if PLAIN.fullmatch(text) and "<|" not in text:
                 self.known[word] = b"".join(map(self._piece, PIECES.findall(text.lower())))
