@@ -63,7 +63,7 @@ def apportion(parties: DataFrame, group: list[str], order: list[Column], votes:
 
 def mix(docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         source_column: str = "source", cap: int = 3, block_words: int = 16, shard_docs: int = 5_000,
-        seed: int = 1, carry: bool = False) -> DataFrame:
+        seed: int = 1, carry: bool = False, shard_words: int = 16_000) -> DataFrame:
     """Decides how many words of each document a mix by source weights takes.
 
     ``weights`` (source, weight) names every source once, null being one of
@@ -74,10 +74,13 @@ def mix(docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", text_col
     The words are dealt in blocks of ``block_words``: quotas by Sainte-Laguë
     first to the sources by their targets, then to each source's shards by their
     words. Shards hold about ``shard_docs`` documents of all sources by a hash
-    of the id, so no window holds a whole source. A shard's documents, in seeded
-    hash order, are repeated end to end; its quota is a run of blocks that
-    begins at a seeded block. A run of at most cap times the shard's words takes
-    no word more than cap times.
+    of the id, so no window holds a whole source. A source has as many of them
+    as leave it ``shard_words`` words in each, or ``shard_docs`` documents of its
+    own, and one at least: a small source is not dealt into shards with less
+    than a block. A shard's documents, in seeded hash order, are repeated end to
+    end; its quota is a run of blocks that begins at a seeded block. A run of at
+    most cap times the shard's words takes no word more than cap times; the last
+    block ends there, and a source at its cap is taken whole.
 
     A text without words, or null, has size 0 and is never taken. Rows that
     repeat an id are separate documents; if they also agree in size, source and
@@ -89,31 +92,43 @@ def mix(docs: DataFrame, weights: DataFrame, id_column: str = "doc_id", text_col
     if carry:
         picked.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = staged(spark, docs.select(*picked), "mix-rows")
-    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    # Staged, so that its size is known and the rows need not be shuffled to meet it.
+    sizes = staged(spark, rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"),
+                                                     F.count_if(F.col("size") > 0).alias("docs")), "mix-sources")
+    count, total = sizes.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     shards_each, blocks = -(-count // shard_docs) or 1, (2 * total + block_words) // (2 * block_words)
 
+    most = F.greatest(F.expr(f"(docs + {shard_docs - 1}) div {shard_docs}"), F.expr(f"source_size div {shard_words}"),
+                      F.lit(1))
+    own = sizes.select(F.col("source").alias("__source"), F.least(most, F.lit(shards_each)).alias("__shards"))
+    rows = rows.join(own, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     digest = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = rows.withColumn("shard", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % shards_each)
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    # Texts without words are never taken; they lie in shards without words, as many as the table has.
+    rows = rows.withColumn("shard", F.when(F.col("size") > 0, number % F.col("__shards"))
+                           .otherwise(-1 - number % shards_each)).drop("__shards")
     rows = rows.withColumn("place", F.substring(digest, 9, 24))
 
     shards = rows.groupBy("source", "shard").agg(F.sum("size").alias("words"))
-    sources = shards.groupBy("source").agg(F.sum("words").alias("source_size"))
+    sources = sizes.select("source", "source_size")
     named = weights.select(F.col("source").alias("__source"), F.col("weight").cast("bigint").alias("weight"))
     sources = sources.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     sources = targets(sources, total, cap).withColumn("__blocks", F.lit(blocks).cast("bigint"))
     by_name = [F.col("source").isNull(), F.col("source")]
     quotas = apportion(sources, [], by_name, "target", "__blocks").select(
         F.col("source").alias("__source"), "source_size", "target",
-        F.least("quota", F.expr(f"{cap} * source_size div {block_words}")).alias("source_quota"))
+        F.least("quota", F.expr(f"({cap} * source_size + {block_words - 1}) div {block_words}")).alias("source_quota"))
     shards = shards.join(quotas, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     shards = apportion(shards, ["source"], [F.col("shard")], "words", "source_quota")
     named_shard = F.concat_ws("/", F.lit(str(seed)), F.col("source").isNull().cast("int").cast("string"),
                               F.coalesce("source", F.lit("")), F.col("shard").cast("string"))
     begin = _digits(named_shard) % F.greatest(F.expr(f"(words + {block_words - 1}) div {block_words}"), F.lit(1))
+    full = F.lit(cap) * F.col("words")
+    run = F.when(F.col("target") >= F.lit(cap) * F.col("source_size"), full).otherwise(
+        F.least(F.col("quota") * block_words, full))
     runs = shards.select(
         F.col("source").alias("__source"), F.col("shard").alias("__shard"), "source_size", "target", "words",
-        (begin * block_words).alias("begin"),
-        (F.least("quota", F.expr(f"{cap} * words div {block_words}")) * block_words).alias("run"))
+        (begin * block_words).alias("begin"), run.alias("run"))
 
     stream = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size")
     ends = rows.withColumn("end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))

@@ -61,6 +61,29 @@ def test_mix(docs, texts):
     assert sorted(map(str, again)) == sorted(map(str, found))
 
 
+@pytest.fixture(scope="module")
+def small_sources(spark):
+    """A large source, one at its cap, empty texts, and forty sources of three documents; 100 shards at shard_docs=20."""
+    rows = [(i, "large", "w " * 100) for i in range(1_400)] + [(2_000 + i, "full", "w " * 5) for i in range(83)]
+    rows += [(3_000 + i, "blank", " ") for i in range(390)] + [(3_500, "blank", "w " * 7)]
+    rows += [(4_000 + i, f"s{i % 40:02}", "w " * 50) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    weights = [("large", 40_000), ("full", 4_000), ("blank", 4_000), *((f"s{i:02}", 20) for i in range(40))]
+    return docs, spark.createDataFrame(weights, "source string, weight bigint")
+
+
+def test_small_sources_reach_their_targets(small_sources):
+    found = mixing.mix(*small_sources, shard_docs=20).collect()
+    assert len(found) == 1_994 and all(0 <= r.taken <= 3 * r.size for r in found)
+    taken, target = Counter(), {r.source: r.target for r in found}
+    for r in found:
+        taken[r.source] += r.taken
+    assert (target["full"], target["blank"]) == (3 * 83 * 5, 3 * 7)
+    assert (taken["full"], taken["blank"]) == (3 * 83 * 5, 3 * 7)
+    for source in target:  # seats of 16 words are rounded alike for forty equal sources
+        assert abs(taken[source] - target[source]) <= (8 * 43 if source == "large" else 8)
+
+
 def test_mixed_documents(docs):
     mixed = mixing.mixed_documents(docs, mixing.cyclic_weights(docs, (5, 2, 1)))
     assert mixed.columns == docs.columns
