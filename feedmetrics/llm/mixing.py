@@ -157,12 +157,16 @@ def cyclic_weights(docs: DataFrame, cycle: tuple[int, ...], source_column: str =
 
 
 def mixed_documents(docs: DataFrame, weights: DataFrame, **options) -> DataFrame:
-    """The mix as whole documents: each row as often as its taken words make it, to the nearest whole.
+    """The mix as whole documents: each row as often as its taken words make it whole.
 
     Only the two documents where a shard's run begins and ends are taken in part.
+    A seeded draw by id takes or leaves such a part with the chance of its share,
+    so the words taken of small sources are right on average, not rounded alike.
     """
     mixed = mix(docs, weights, carry=True, **options)
-    times = F.when(F.col("size") > 0, F.expr("(2 * taken + size) div (2 * size)")).otherwise(0)
+    draw = _digits(F.concat_ws("/", F.lit(f"{options.get('seed', 1)}/copy"), F.col("doc_id").cast("string")))
+    part = (draw % F.col("size") < F.col("taken") % F.col("size")).cast("int")
+    times = F.when(F.col("size") > 0, F.expr("taken div size") + part).otherwise(0)
     repeated = mixed.select("row", F.explode(F.sequence(F.lit(1), F.lit(options.get("cap", 3)))).alias("copy"),
                             times.alias("times"))
     return repeated.filter("copy <= times").select("row.*")

@@ -90,6 +90,22 @@ def test_mixed_documents(docs):
     assert all((r.text or "").split() for r in mixed.collect())
 
 
+def test_whole_documents_reach_the_targets(spark):
+    """400 sources of one document each, of which weights 1, 2 and 3 take about 1/2, 1 and 3/2."""
+    docs = spark.createDataFrame([(i, f"s{i:03}", "w " * 400) for i in range(400)],
+                                 "doc_id bigint, source string, text string")
+    weights = spark.createDataFrame([(f"s{i:03}", 1 if i < 66 else 3 if i < 132 else 2) for i in range(400)],
+                                    "source string, weight bigint")
+    mixed = {r.source: r.taken for r in mixing.mix(docs, weights).collect()}
+    copies = Counter(r.source for r in mixing.mixed_documents(docs, weights).collect())
+    for s, taken in mixed.items():
+        assert taken // 400 <= copies[s] <= -(-taken // 400)
+    for low, high in ((0, 66), (66, 132), (132, 400)):
+        names = [f"s{i:03}" for i in range(low, high)]
+        words, wanted = 400 * sum(copies[s] for s in names), sum(mixed[s] for s in names)
+        assert abs(words - wanted) <= 400 * 2 * (high - low) ** 0.5
+
+
 def test_empty_tables(no_docs):
     assert mixing.mix(no_docs, mixing.cyclic_weights(no_docs, (5, 2, 1))).count() == 0
     assert sharding.shard_rows(no_docs, "doc_id", ["a", "b"], 13).count() == 0
