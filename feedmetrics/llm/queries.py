@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.llm import (exact_dedup, mixing, packing, ppm, quality_fm, rule_cascade, sharding, simhash,
+from feedmetrics.llm import (alignment, exact_dedup, mixing, packing, ppm, quality_fm, rule_cascade, sharding, simhash,
                              substring_dedup, warc)
 from feedmetrics.session import configure, scratch_dir
 
@@ -194,3 +194,12 @@ FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id""")
 def substring_duplicates(spark, sf_dir):
     found = substring_dedup.without_repeats(_documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op13_tokenizer_alignment")
+def align_tokenizers(spark, sf_dir):
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    found = alignment.aligned(
+        _documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"),
+        keep=lambda rows: rows.select("block", "doc_id", "n_a", "n_b", "n_groups", digest, "links", "a", "b", "n"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
