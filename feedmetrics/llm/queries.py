@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmetrics.llm import (alignment, exact_dedup, mixing, packing, ppm, quality_fm, rule_cascade, sharding, simhash,
+from feedmetrics.llm import (alignment, exact_dedup, minmax, mixing, packing, ppm, prefix_trie, quality_fm, rule_cascade, sharding, simhash,
                              substring_dedup, warc)
 from feedmetrics.session import configure, scratch_dir
 
@@ -196,6 +196,63 @@ def substring_duplicates(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op11_prefix_trie", r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+         PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k:
+               CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS steps),
+ids AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(
+               string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM t), crc),
+turns AS (SELECT conv_id, nth, r, x FROM t JOIN ids USING (conv_id) WHERE nth > h
+          UNION ALL SELECT ids.conv_id, nth, r, x FROM ids JOIN t ON t.conv_id = ids.conv_id - ids.conv_id % 5 AND nth <= h),
+s AS (SELECT ids.conv_id, coalesce(list({'r': r, 'x': x} ORDER BY nth) FILTER (r IS NOT NULL), []) AS seq
+      FROM ids LEFT JOIN turns USING (conv_id) GROUP BY ids.conv_id),
+prefixes AS (SELECT conv_id, d, md5(list_slice(seq, 1, d)::VARCHAR) AS p, seq,
+                    CASE WHEN d > 0 THEN md5(list_slice(seq, 1, d - 1)::VARCHAR) END AS parent, len(seq) = d AS ends
+             FROM (SELECT *, unnest(generate_series(0, len(seq))) AS d FROM s)),
+nodes AS (SELECT p, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n,
+                 coalesce(any_value(octet_length(encode(seq[d].x))), 0) AS bytes,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+          FROM prefixes GROUP BY p, d),
+children AS (SELECT parent AS p, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+up AS (SELECT p AS node, p AS top, parent FROM nodes
+       UNION ALL SELECT up.node, nodes.p, nodes.parent FROM up JOIN nodes ON nodes.p = up.parent),
+sums AS (SELECT up.top AS p, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n - 1) * bytes) AS saved
+         FROM up JOIN nodes ON nodes.p = up.node LEFT JOIN children ON children.p = up.node GROUP BY up.top)
+SELECT nodes.conv_id, nodes.d::BIGINT AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       sha256(nodes.ends) AS ends_sha256
+FROM nodes JOIN sums USING (p) LEFT JOIN children USING (p) LEFT JOIN nodes above ON above.p = nodes.parent""")
+def conversation_prefixes(spark, sf_dir):
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op12_minmax_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, list_sort(CASE WHEN len(words) < 2 THEN words ELSE list_distinct(list_transform(
+             generate_series(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1])) END) AS members FROM w),
+classes AS (SELECT members, min(doc_id) AS node, len(members) AS n FROM s WHERE len(members) > 0 GROUP BY members),
+each AS (SELECT node, n, unnest(members) AS shingle FROM classes),
+links AS (SELECT a.node AS a, b.node AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.node < b.node
+          AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+          GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT node AS a, node AS b FROM classes
+          UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.b),
+roots AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a)
+SELECT doc_id, len(s.members)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id,
+       doc_id = coalesce(root, doc_id) AS kept
+FROM s LEFT JOIN classes ON classes.members = s.members LEFT JOIN roots USING (node)""")
+def minmax_duplicates(spark, sf_dir):
+    return minmax.near_duplicates(_documents(spark, sf_dir))
+
+
 @query("op13_tokenizer_alignment")
 def align_tokenizers(spark, sf_dir):
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
