@@ -91,16 +91,20 @@ class Pair:
                    for i in range(ids) for end in ends]
         self.written = np.array(written, dtype=object)
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids by both tokenizers; none where a tokenizer's bytes are not those of space and text."""
+        none = np.zeros(0, dtype=np.int32)
         if not text:
-            return [], []
+            return none, none
         whole = b" " + text.encode("utf-8", "replace")
         b = self.b(text)
         if b"".join(map(self.b.bytes.__getitem__, b)) != whole:
-            return [], []
+            return none, none
+        b = np.array(b, dtype=np.int32)
         a = self.a(f" {text}")
-        return (a, b) if b"".join(map(self.a.bytes.__getitem__, a)) == whole else ([], [])
+        if b"".join(map(self.a.bytes.__getitem__, a)) != whole:
+            return none, none
+        return np.array(a, dtype=np.int32), b
 
 
 @lru_cache(maxsize=2)
@@ -178,29 +182,28 @@ def _frame(**given) -> pd.DataFrame:
 
 
 def align_block(pair: Pair, block: int, ids: list, texts: list, work: int) -> Iterator[pd.DataFrame]:
-    """Rows of the documents of a block, then its id pairs with their counts, in the order of (a, b).
+    """Rows of the documents of a block (one at least), then its id pairs with their counts, in the order of (a, b).
 
     The documents lie end to end, so one merge serves the block: both tokenizers
     end where a document ends.
     """
     both = [pair.tokens(t) for t in texts]
     a_from, b_from = _starts([len(a) for a, _ in both]), _starts([len(b) for _, b in both])
-    a = np.fromiter((i for x, _ in both for i in x), dtype=np.int64, count=a_from[-1])
-    b = np.fromiter((i for _, x in both for i in x), dtype=np.int64, count=b_from[-1])
+    a, b = (np.concatenate(own) for own in zip(*both))
     del both
     a_ends, b_ends = np.cumsum(pair.a_lengths[a]), np.cumsum(pair.b_lengths[b])
     a_last, b_last = joint_ends(a_ends, b_ends, work)
 
     # Tokens in the order in which groups are written: a group's a tokens, then its b tokens.
-    order = np.empty(len(a) + len(b), dtype=np.int64)
-    a_closes, b_closes = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+    order = np.empty(len(a) + len(b), dtype=np.int32)
+    a_closes, b_closes = np.zeros(len(a), dtype=np.int32), np.zeros(len(b), dtype=np.int32)
     a_closes[a_last], b_closes[b_last] = 1, 1
     a_group, b_group = np.cumsum(a_closes) - a_closes, np.cumsum(b_closes) - b_closes
     order[np.arange(len(a)) + np.concatenate([[0], b_last + 1])[a_group]] = 2 * a + a_closes
     order[np.arange(len(b)) + (a_last + 1)[b_group]] = 2 * (b + len(pair.a.bytes)) + b_closes
 
     group_from = np.searchsorted(a_last, a_from)
-    codes, links = np.unique((a[a_last] << 32) | b[b_last], return_inverse=True)
+    codes, links = np.unique((a[a_last].astype(np.int64) << 32) | b[b_last], return_inverse=True)
     links, stops = links.astype("<u4"), a_ends[a_last]
     begins = np.concatenate([[0], a_ends])[a_from]
     groups, ends, packed = [], [], []
@@ -230,7 +233,7 @@ def _sums(packs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
 
 
 def aligned(docs: DataFrame, a_file: str, b_file: str, id_column: str = "doc_id", text_column: str = "text",
-            block_bytes: int = 8 << 20, work: int = 1 << 16,
+            block_bytes: int = 2 << 20, work: int = 1 << 16,
             keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, groups, ends, n_links, n_best, count_sum.
 
