@@ -35,3 +35,9 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
         return False
     return any(status.isFile() and not status.getPath().getName().startswith(("_", "."))
                for status in fs.listStatus(hadoop))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file."""
+    fs, hadoop = _path(spark, path)
+    return fs.getFileStatus(hadoop).getLen()
