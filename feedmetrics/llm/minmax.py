@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmetrics.llm.base import staged, text_of
@@ -33,7 +33,7 @@ class Shingler:
         words = text.encode("utf-8", "replace").lower().split()
         if len(self.known) > self.most:
             self.known.clear()
-        for word in set(words) - self.known.keys():
+        for word in set(words).difference(self.known):
             self.known[word] = xxhash.xxh64_intdigest(word)
         hashes = np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
         each = min(self.words_each, len(words))
@@ -142,13 +142,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("shared") >= percent * (F.col("sizes") - F.col("shared"))).select("a", "b")
 
 
-def _similar_sizes(a: str, b: str, percent: int):
+def _similar_sizes(a: str, b: str, percent: int) -> Column:
     """Sets whose sizes differ more than this cannot be similar enough."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_each: int = 2,
-                    percent: int = 80, bands: int = 40, rows: int = 5, seed: int = 42, pivots: int = 32) -> DataFrame:
+                    percent: int = 80, bands: int = 40, rows: int = 5, seed: int = 42) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     A document's set is its distinct shingles of ``words_each`` words, A-Z
@@ -159,13 +159,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Every link given out is confirmed on the whole sets.
 
     Sets that share a key are a bucket, and no bucket is spread into its pairs.
-    First each is compared with the bucket's smallest alone, which joins a group
-    of near copies in one round. Then, where a bucket still holds several
-    components, rounds take up to ``pivots`` sets outside its largest component
-    and compare them with the sets of other components, until each set outside
-    has had its turn. Sets in one component by then need no comparison, and all
-    others have had it, so the components are those of all pairs of the bucket.
-    A round's pairs are at most ``pivots`` times the rows of the buckets.
+    First each is compared with one of its bucket alone, that which meets most
+    other sets under all its keys, so a group of near copies is joined by its
+    original. Where a bucket then still holds several components, links between
+    them are searched by rare shingles (``_remaining``), which finds every one.
+    So the components are those of all similar sets that share a key.
 
     ``component_id`` is the smallest id reachable; ``kept`` says whether it is
     the row's own. A text that is null or has no words is linked with nothing.
@@ -179,8 +177,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     classes = staged(spark, classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "n",
                                            "keys"), "minmax-classes")
-    links = _all_links(docs, classes, id_column, text_column, words_each, percent, pivots)
-    roots = connected(spark, links)
+    roots = _roots(docs, classes, id_column, text_column, words_each, percent)
     rooted = classes.join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(firsts, "root").select("digest", "component_id")
@@ -191,41 +188,79 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
                          F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _all_links(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str, words_each: int, percent: int,
-               pivots: int) -> DataFrame:
-    """Links (a, b) between classes whose components are those of all similar classes that share a key."""
+def _roots(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str, words_each: int,
+           percent: int) -> DataFrame:
+    """(node, root) of the classes that have a link."""
     spark = docs.sparkSession
     entries = classes.select("node", "n", F.posexplode("keys").alias("band", "key"))
-    buckets = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"),
-                                                 F.min_by("n", "node").alias("first_n")).filter("size > 1")
-    members = staged(spark, entries.join(buckets.drop("size"), ["band", "key"]), "minmax-members")
-    stars = members.filter("node <> first").filter(_similar_sizes("n", "first_n", percent))
-    stars = staged(spark, stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "minmax-stars")
-    # Any member of a bucket may be compared in a later round.
+    buckets = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = staged(spark, entries.join(buckets, ["band", "key"]), "minmax-members")
+    company = members.groupBy("node").agg(F.sum("size").alias("met"))
+    chosen = members.join(company, "node").groupBy("band", "key").agg(
+        F.max_by(F.struct("node", "n"), F.struct("met", "node")).alias("center"))
+    stars = members.join(chosen, ["band", "key"]).select("node", "n", F.col("center.node").alias("center"),
+                                                         F.col("center.n").alias("center_n"))
+    stars = stars.filter("node <> center").filter(_similar_sizes("n", "center_n", percent))
+    stars = staged(spark, stars.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+                   .distinct(), "minmax-stars")
+    # Any member of a bucket may be compared again.
     wanted = classes.select("node", "digest", "first_id").join(members.select("node").distinct(), "node", "left_semi")
     sets = staged(spark, _sets(docs, wanted, id_column, text_column, words_each), "minmax-sets")
-    links = staged(spark, _linked(stars, sets, percent), "minmax-links")
-
-    tested = stars
-    turned = spark.createDataFrame([], "band int, key bigint, node bigint")
-    while True:
-        roots = connected(spark, links)
-        now = members.select("band", "key", "node", "n").join(roots, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        sizes = now.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("size"))
-        largest = sizes.groupBy("band", "key").agg(F.max_by("root", F.struct("size", "root")).alias("main"),
-                                                   F.count(F.lit(1)).alias("components")).filter("components > 1")
-        still = now.join(largest.drop("components"), ["band", "key"])
-        waiting = still.filter("root <> main").join(turned, ["band", "key", "node"], "left_anti")
-        order = F.row_number().over(Window.partitionBy("band", "key").orderBy("node"))
-        turn = staged(spark, waiting.withColumn("nth", order).filter(F.col("nth") <= pivots).select(
-            "band", "key", F.col("node").alias("p"), F.col("n").alias("p_n"), F.col("root").alias("p_root")),
-            "minmax-turn")
-        if turn.isEmpty():
-            return links
-        pairs = still.join(turn, ["band", "key"]).filter("root <> p_root").filter(_similar_sizes("n", "p_n", percent))
-        pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        pairs = staged(spark, pairs.join(tested, ["a", "b"], "left_anti"), "minmax-pairs")
-        links = links.unionByName(staged(spark, _linked(pairs, sets, percent), "minmax-links"))
-        tested = tested.unionByName(pairs)
-        turned = turned.unionByName(turn.select("band", "key", F.col("p").alias("node")))
+    roots = staged(spark, connected(spark, _linked(stars, sets, percent)), "minmax-roots")
+
+    now = members.select("band", "key", "node").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    open_ = now.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    nodes = now.join(open_, ["band", "key"], "left_semi").select("node", "root").distinct()
+    pairs = _remaining(staged(spark, sets.join(nodes, "node"), "minmax-open"), percent)
+    pairs = staged(spark, pairs.join(stars, ["a", "b"], "left_anti"), "minmax-pairs")
+    more = staged(spark, _linked(pairs, sets, percent), "minmax-links")
+    if more.isEmpty():
+        return roots
+    known = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return connected(spark, known.unionByName(more))
+
+
+def _remaining(sets: DataFrame, percent: int) -> DataFrame:
+    """sets(node, members, root) -> pairs (a, b) of different roots, all similar ones among them.
+
+    Shingles are ordered by how many sets have them, the rarest first, the same
+    order for all. Two similar sets share so many that the first one they share
+    is early in both: among the first (1 - 2t / (1 + t)) of the smaller set and
+    the first (1 - t) of the larger. From its places in both follows how many
+    they can share at most. Shingles of one set alone are only counted.
+
+    Under a shingle, sets of its most frequent root are not compared with each
+    other, so a large group of near copies costs its size times the strays.
+    """
+    elements = sets.select("node", F.size("members").alias("n"), F.explode("members").alias("shingle"))
+    common = elements.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    ordered = elements.join(common, "shingle").groupBy("node").agg(
+        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("sets", "shingle"))).alias("rare"))
+
+    def first(share: str) -> Column:
+        """How many of n shingles come before the last ceil(share * n), and one more."""
+        return F.col("n") - F.ceil(F.expr(share)) + 1
+
+    ordered = ordered.select(
+        "node", "n", first(f"n * {percent} / 100D").alias("as_larger"),
+        first(f"n * {2 * percent} / {100 + percent}D").alias("as_smaller"), (F.col("n") - F.size("rare")).alias("alone"),
+        "rare")
+    kept = F.slice("rare", 1, F.greatest(F.col("as_larger") - F.col("alone"), F.lit(0)).cast("int"))
+    entries = ordered.select("node", "n", "as_smaller", "alone", F.posexplode(kept).alias("index", "of"))
+    entries = entries.select("node", "n", "as_smaller", (F.col("alone") + F.col("index") + 1).alias("place"),
+                             F.col("of.shingle").alias("shingle"))
+    entries = staged(sets.sparkSession, entries.join(sets.select("node", "root"), "node"), "minmax-rare")
+
+    by_root = entries.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = by_root.groupBy("shingle").agg(F.max_by("root", F.struct("size", "root")).alias("main"),
+                                             F.count(F.lit(1)).alias("roots")).filter("roots > 1").drop("roots")
+    strays = entries.join(largest, "shingle").filter("root <> main").select(
+        "shingle", *(F.col(c).alias(f"s_{c}") for c in ("node", "n", "as_smaller", "place", "root")))
+    smaller = (F.col("s_n") <= F.col("n")) & (F.col("s_place") <= F.col("s_as_smaller"))
+    larger = (F.col("n") <= F.col("s_n")) & (F.col("place") <= F.col("as_smaller"))
+    most = F.least(F.col("n") - F.col("place"), F.col("s_n") - F.col("s_place")) + 1
+    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("s_n"))
+    found = entries.join(strays, (entries["shingle"] == strays["shingle"]) & (F.col("root") != F.col("s_root"))
+                         & (smaller | larger) & enough & _similar_sizes("n", "s_n", percent))
+    return found.select(F.least("node", "s_node").alias("a"), F.greatest("node", "s_node").alias("b")).distinct()

@@ -50,27 +50,45 @@ def test_near_duplicates(docs, texts):
     assert rows_of(minmax.near_duplicates(docs)) == plain_components(texts)
 
 
-@pytest.mark.parametrize("pivots", [1, 32])
-def test_chains_and_hot_buckets(spark, pivots):
-    """Groups that no single member links, sets a bit too far from each other, and few bands of one row."""
+def test_chains_and_hot_buckets(spark):
+    """Groups that no single member links, copies of parts, sets a bit too far from each other, one-value bands."""
     rng = random.Random(3)
     rows = []
     for group in range(4):
         words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        original = words
         for step in range(25):
             words = list(words)
             words[rng.randrange(60)] = f"v{rng.randrange(5000)}"
             if step % 3 == 0:
                 words[rng.randrange(60)] = f"x{rng.randrange(5000)}"
             rows.append((len(rows), " ".join(words)))
+        for step in range(40):
+            stray = [f"y{rng.randrange(9)}" if rng.random() < 0.08 else w for w in original[rng.randrange(8):]]
+            rows.append((len(rows), " ".join(stray[:rng.randrange(40, 61)])))
     rows += [(len(rows) + i, " ".join(["common", "words", "here"] * 3 + [f"u{i}"])) for i in range(20)]
     rng.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     wanted = plain_components(rows)
-    assert len({r[2] for r in wanted}) < len(rows) - 40
-    assert rows_of(minmax.near_duplicates(docs, pivots=pivots)) == wanted
+    assert 50 < len({r[2] for r in wanted}) < len(rows) - 40
+    assert rows_of(minmax.near_duplicates(docs)) == wanted
     # Bands of one value put nearly all into the same buckets.
-    assert rows_of(minmax.near_duplicates(docs, bands=16, rows=1, pivots=pivots * 4)) == wanted
+    assert rows_of(minmax.near_duplicates(docs, bands=16, rows=1)) == wanted
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_remaining_misses_no_link(spark, percent):
+    rng = random.Random(percent)
+    sets = []
+    for node in range(150):
+        base = range(30 * (node % 3), 30 * (node % 3) + 30)
+        own = {x for x in base if rng.random() < 0.95} | {1000 + rng.randrange(40) for _ in range(rng.randrange(6))}
+        sets.append((node, sorted(own), node % 5 if node % 4 else 1000 + node))
+    found = minmax._remaining(spark.createDataFrame(sets, "node bigint, members array<bigint>, root bigint"), percent)
+    pairs = {(r.a, r.b) for r in found.collect()}
+    links = {(a, b) for (a, x, p), (b, y, q) in combinations(sets, 2)
+             if p != q and 100 * len(set(x) & set(y)) >= percent * len(set(x) | set(y))}
+    assert links and links <= pairs
 
 
 def test_signatures_estimate_similarity():
