@@ -84,7 +84,7 @@ def simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
-MIX_CYCLE, MIX_CAP, MIX_BLOCK, MIX_SHARD, MIX_SEED = (5, 2, 1), 3, 16, 5_000, 1
+MIX_CYCLE, MIX_CAP, MIX_BLOCK, MIX_SHARD, MIX_SHARD_WORDS, MIX_SEED = (5, 2, 1), 3, 16, 5_000, 16_000, 1
 
 
 @query("op5_mix_sources", f"""
@@ -94,8 +94,13 @@ WITH docs AS (
   FROM documents),
 totals AS (SELECT sum(size)::BIGINT AS total, greatest((count(*) + {MIX_SHARD - 1}) // {MIX_SHARD}, 1) AS shards_each,
                   ((2 * sum(size) + {MIX_BLOCK}) // {2 * MIX_BLOCK})::BIGINT AS blocks FROM docs),
-d AS (SELECT doc_id, source, size, ('0x' || substr(digest, 1, 8))::BIGINT % shards_each AS shard,
-             substr(digest, 9, 24) AS place FROM docs, totals),
+own AS (SELECT source, least(greatest((count(*) FILTER (WHERE size > 0) + {MIX_SHARD - 1}) // {MIX_SHARD},
+               sum(size)::BIGINT // {MIX_SHARD_WORDS}, 1), any_value(shards_each)) AS shards
+        FROM docs, totals GROUP BY source),
+d AS (SELECT doc_id, docs.source, size, CASE WHEN size > 0 THEN ('0x' || substr(digest, 1, 8))::BIGINT % shards
+             ELSE -1 - ('0x' || substr(digest, 1, 8))::BIGINT % shards_each END AS shard,
+             substr(digest, 9, 24) AS place
+      FROM docs JOIN own ON own.source IS NOT DISTINCT FROM docs.source, totals),
 sh AS (SELECT source, shard, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
 named AS (SELECT source, sum(words)::BIGINT AS source_size,
                  [{', '.join(map(str, MIX_CYCLE))}][((row_number() OVER (ORDER BY source NULLS LAST) - 1)
@@ -113,7 +118,7 @@ t AS (SELECT source, source_size,
       FROM leveled),
 seats AS (SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST) AS n
           FROM t, (SELECT unnest(generate_series(0, blocks)) AS k FROM totals) WHERE target > 0),
-q AS (SELECT t.source, t.source_size, t.target, least(count(s.n), {MIX_CAP} * t.source_size // {MIX_BLOCK}) AS quota
+q AS (SELECT t.source, t.source_size, t.target, least(count(s.n), ({MIX_CAP} * t.source_size + {MIX_BLOCK - 1}) // {MIX_BLOCK}) AS quota
       FROM t, totals LEFT JOIN seats s ON s.source IS NOT DISTINCT FROM t.source AND s.n <= blocks
       GROUP BY t.source, t.source_size, t.target),
 seats2 AS (SELECT sh.source, sh.shard, row_number() OVER (PARTITION BY sh.source
@@ -124,8 +129,9 @@ runs AS (
   SELECT sh.source, sh.shard, words, source_size, target,
          (('0x' || substr(md5(concat_ws('/', '{MIX_SEED}', (sh.source IS NULL)::INT::VARCHAR, coalesce(sh.source, ''),
            sh.shard::VARCHAR)), 1, 15))::BIGINT % greatest((words + {MIX_BLOCK - 1}) // {MIX_BLOCK}, 1)) * {MIX_BLOCK} AS b,
-         least((SELECT count(*) FROM seats2 s WHERE s.source IS NOT DISTINCT FROM sh.source AND s.shard = sh.shard
-                AND s.n <= q.quota), {MIX_CAP} * words // {MIX_BLOCK}) * {MIX_BLOCK} AS run
+         CASE WHEN target >= {MIX_CAP} * source_size THEN {MIX_CAP} * words ELSE least((
+           SELECT count(*) FROM seats2 s WHERE s.source IS NOT DISTINCT FROM sh.source AND s.shard = sh.shard
+           AND s.n <= q.quota) * {MIX_BLOCK}, {MIX_CAP} * words) END AS run
   FROM sh JOIN q ON q.source IS NOT DISTINCT FROM sh.source),
 ends AS (SELECT d.*, sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id, size
                                      ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM d)
@@ -136,7 +142,7 @@ FROM ends JOIN runs ON runs.source IS NOT DISTINCT FROM ends.source AND runs.sha
 def mix_sources(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     return mixing.mix(docs, mixing.cyclic_weights(docs, MIX_CYCLE), cap=MIX_CAP, block_words=MIX_BLOCK,
-                      shard_docs=MIX_SHARD, seed=MIX_SEED)
+                      shard_docs=MIX_SHARD, shard_words=MIX_SHARD_WORDS, seed=MIX_SEED)
 
 
 @query("op6_exact_dedup", """

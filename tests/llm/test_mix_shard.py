@@ -150,3 +150,29 @@ def test_shard_rows(docs, texts):
         assert (r.slot, r.shard) == (slot, shards[table[slot]])
         by_id[r.doc_id].add(r.shard)
     assert all(len(s) == 1 for s in by_id.values())
+
+
+def test_query_sql_at_caps_and_in_small_shards(spark, tmp_path):
+    """Sources at their cap, of few words, of no words, and one dealt into several shards."""
+    import duckdb
+
+    from feedmetrics.llm.queries import ORACLE_SQL, QUERIES
+
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), "a" if i % 41 else "b") for i in range(12_000)]
+    rows += [(20_000 + i, "one two", f"s{i % 90}") for i in range(300)]
+    rows += [(30_000, " ".join(["long"] * 40_000), "c"), (30_001, None, None), (30_002, " ", "d"), (30_003, "x", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op5_mix_sources"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    names = ", ".join(found.columns)
+    wanted = duck.execute(f"SELECT {names} FROM ({ORACLE_SQL['op5_mix_sources']})").fetchall()
+    number = lambda r: tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+    assert sorted((number(r) for r in found.collect()), key=repr) == sorted(map(number, wanted), key=repr)
+    taken, full = Counter(), {}
+    for r in found.collect():
+        taken[r.source] += r.taken
+        full[r.source] = (r.target, r.source_size)
+    assert any(target == 3 * size > 0 for target, size in full.values())
+    for source, (target, size) in full.items():
+        assert abs(taken[source] - target) <= (0 if target == 3 * size else 16 * 4)
