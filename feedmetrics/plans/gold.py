@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmetrics.functions.measures import engagement
 from feedmetrics.operators.days import dated, metric_columns, of_platform
-from feedmetrics.operators.ranking import rank_all, top_k
+from feedmetrics.operators.ranking import rank_by_count, top_k
 from feedmetrics.schemas import GOLD, HN, HN_ITEM_TYPES, X
 
 
@@ -79,7 +79,7 @@ def hashtag_trends(post_tags: DataFrame, processed_at: str) -> DataFrame:
                .where((F.col("tag") != "") & (F.col("tag_type").isNull() | (F.col("tag_type") == "hashtag")))
                .groupBy("date", F.lower("tag").alias("tag"))
                .agg(F.count(F.lit(1)).alias("post_count")))
-    return (rank_all(counted, ["date"], [F.desc("post_count"), F.desc("tag")])
+    return (rank_by_count(counted, ["date"], "post_count", "tag")
             .select(*metric_columns(X, processed_at), "rank", "tag",
                     F.lit("hashtag").alias("tag_type"), "post_count"))
 

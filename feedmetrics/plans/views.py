@@ -59,32 +59,65 @@ def _renamed(table: str) -> Callable[[Tables], DataFrame]:
     return lambda tables: _stamp_last(tables(table))
 
 
+RENAMED = {"vw_x_daily_activity": "x_daily_users_metric", "vw_x_top_posts": "x_top_posts_by_engagement",
+           "vw_x_top_users": "x_top_users_by_followers", "vw_x_hashtag_trends": "x_hashtag_trends"}
 VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     "vw_hn_daily_activity": hn_daily_activity,
-    "vw_x_daily_activity": _renamed("x_daily_users_metric"),
     "vw_hn_top_posts": hn_top_posts,
     "vw_hn_top_users": hn_top_users,
-    "vw_x_top_posts": _renamed("x_top_posts_by_engagement"),
-    "vw_x_top_users": _renamed("x_top_users_by_followers"),
-    "vw_x_hashtag_trends": _renamed("x_hashtag_trends"),
+    **{name: _renamed(table) for name, table in RENAMED.items()},
     "vw_data_quality_score": data_quality_score,
 }
 
 
+def view_sql(name: str, database: str) -> str:
+    """The SELECT of a view over a database's tables; the same rows and columns as its plan in ``VIEWS``."""
+
+    def columns(table: str, label: str | None = None, after_rank: bool = False, alias: str = "") -> str:
+        names = [f"{alias}`{n}`" for n in warehouse.table_schema(table).names if n != STAMP]
+        if label:
+            names.insert(names.index("`rank`") + 1 if after_rank else len(names), label)
+        return ", ".join([*names, f"{alias}{STAMP}"])
+
+    def labelled(label: str, parts: dict[str, str]) -> str:
+        return " UNION ALL ".join(f"SELECT {columns(table, f'{value!r} AS {label}', True)} FROM {database}.{table}"
+                                  for table, value in parts.items())
+
+    if name == "vw_hn_daily_activity":
+        kinds = ", ".join(f"i.{kind}_count" for kind in HN_ITEM_TYPES)
+        same = " AND ".join(f"i.{part} <=> u.{part}" for part in ("year", "month", "day"))
+        return (f"SELECT i.date, i.platform, i.year, i.month, i.day, {kinds}, i.total_count, u.total_users, "
+                f"u.active_users, greatest(i.{STAMP}, u.{STAMP}) AS {STAMP} "
+                f"FROM {database}.hn_daily_item_counts i LEFT JOIN {database}.hn_daily_users_metric u "
+                f"ON i.date = u.date AND i.platform = u.platform AND {same}")
+    if name == "vw_hn_top_posts":
+        return labelled("post_category", {"hn_top_story_posts": "story", "hn_top_job_posts": "job"})
+    if name == "vw_hn_top_users":
+        return labelled("user_bucket", {"hn_top_users_by_karma": "top_karma", "hn_bottom_users_by_karma": "bottom_karma"})
+    if name == "vw_data_quality_score":
+        return " UNION ALL ".join(f"SELECT * FROM {database}.{table}"
+                                  for table in ("hn_data_quality_summary", "x_data_quality_summary"))
+    return f"SELECT {columns(RENAMED[name])} FROM {database}.{RENAMED[name]}"
+
+
 def register_views(spark: SparkSession, database: str) -> None:
-    """The eight views as session views; registering again replaces them."""
-    for name, build in VIEWS.items():
-        build(lambda table: warehouse.read_table(spark, database, table)).createOrReplaceTempView(name)
+    """The eight views in the database's catalog, for every session, and under their names in this one.
+
+    Each database has its own; registering again replaces them.
+    """
+    for name in VIEWS:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {view_sql(name, database)}")
+        spark.table(f"{database}.{name}").createOrReplaceTempView(name)
 
 
-def missing_views(spark: SparkSession) -> list[str]:
-    return [name for name in VIEWS if not spark.catalog.tableExists(name)]
+def missing_views(spark: SparkSession, database: str | None = None) -> list[str]:
+    return [name for name in VIEWS if not spark.catalog.tableExists(f"{database}.{name}" if database else name)]
 
 
-def view_counts(spark: SparkSession) -> DataFrame:
-    """view_name, row_count of every view."""
+def view_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """view_name, row_count of every view: those of a database, or the session's."""
     return reduce(DataFrame.unionByName, (
-        spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("view_name"), "row_count")
+        spark.table(f"{database}.{name}" if database else name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("view_name"), "row_count")
         for name in VIEWS))
 
 

@@ -39,6 +39,11 @@ def day_text(column: str) -> Column:
     return F.date_format(F.col(column).cast("timestamp"), "yyyy-MM-dd")
 
 
+def month_text(column: str) -> Column:
+    """The first day of a month, for feeds of fewer days."""
+    return F.date_format(F.col(column).cast("timestamp"), "yyyy-MM-01")
+
+
 def _dated(day: Column) -> dict[str, Column]:
     return {"data_date": day, "year": F.substring(day, 1, 4), "month": F.substring(day, 6, 2),
             "day": F.substring(day, 9, 2), "ingest_date": F.lit(INGEST),
@@ -72,9 +77,9 @@ def hn_users(spark: SparkSession, sf: str) -> DataFrame:
         "user_id": hn_id(name), "source_user_id": name, "username": name, "karma_score": F.col("karma")})
 
 
-def x_users(spark: SparkSession, sf: str) -> DataFrame:
+def x_users(spark: SparkSession, sf: str, day=day_text) -> DataFrame:
     """One row per order day and customer."""
-    orders = (table(spark, sf, "orders").groupBy(day_text("o_orderdate").alias("date"), "o_custkey")
+    orders = (table(spark, sf, "orders").groupBy(day("o_orderdate").alias("date"), "o_custkey")
               .agg(F.floor(F.max("o_totalprice")).cast("bigint").alias("followers"),
                    F.count(F.lit(1)).alias("following"),
                    F.max(F.col("o_orderpriority") == "1-URGENT").alias("verified")))
@@ -95,9 +100,9 @@ def _order_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
 
-def x_posts(spark: SparkSession, sf: str) -> DataFrame:
+def x_posts(spark: SparkSession, sf: str, day=day_text) -> DataFrame:
     source_id, author = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
-    return _silver(_order_metrics(spark, sf), "posts", X, day_text("o_orderdate"), {
+    return _silver(_order_metrics(spark, sf), "posts", X, day("o_orderdate"), {
         "post_id": x_post_id(source_id), "source_post_id": source_id,
         "author_user_id": x_user_id(author, F.lit(None).cast("string")),
         "author_username": F.concat(F.lit("customer"), author), "post_type": F.lit("tweet"),
@@ -107,7 +112,7 @@ def x_posts(spark: SparkSession, sf: str) -> DataFrame:
         "created_at_utc": F.concat(day_text("o_orderdate"), F.lit("T00:00:00Z"))})
 
 
-def x_tags(spark: SparkSession, sf: str) -> DataFrame:
+def x_tags(spark: SparkSession, sf: str, day=day_text) -> DataFrame:
     """The words of a part's name, for every line of it; brands carry another tag type."""
     lines = table(spark, sf, "lineitem").join(
         table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"),
@@ -116,24 +121,24 @@ def x_tags(spark: SparkSession, sf: str) -> DataFrame:
                         lambda word: F.struct(word.alias("tag"), F.lit("hashtag").alias("tag_type")))
     brand = F.array(F.struct(F.col("p_brand").alias("tag"), F.lit("brand").alias("tag_type")))
     post_id = x_post_id(F.col("l_orderkey").cast("string"))
-    tags = lines.select(post_id.alias("post_id"), day_text("l_shipdate").alias("date"), F.inline(F.concat(words, brand)))
+    tags = lines.select(post_id.alias("post_id"), day("l_shipdate").alias("date"), F.inline(F.concat(words, brand)))
     return _silver(tags, "post_tags", X, F.col("date"), {
         "post_id": F.col("post_id"), "tag": F.col("tag"),
         "tag_type": F.col("tag_type")})
 
 
-def x_relations(spark: SparkSession, sf: str) -> DataFrame:
+def x_relations(spark: SparkSession, sf: str, day=day_text) -> DataFrame:
     lines = table(spark, sf, "lineitem")
     kind = {"R": "retweeted", "A": "replied_to", "N": "quoted"}
-    return _silver(lines, "post_relations", X, day_text("l_shipdate"), {
+    return _silver(lines, "post_relations", X, day("l_shipdate"), {
         "post_id": x_post_id(F.col("l_orderkey").cast("string")),
         "related_source_post_id": F.col("l_partkey").cast("string"),
         "relation_type": choose(F.col("l_returnflag"), kind)})
 
 
-def x_silver(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {"users": x_users(spark, sf), "posts": x_posts(spark, sf), "post_tags": x_tags(spark, sf),
-            "post_relations": x_relations(spark, sf)}
+def x_silver(spark: SparkSession, sf: str, day=day_text) -> dict[str, DataFrame]:
+    return {"users": x_users(spark, sf, day), "posts": x_posts(spark, sf, day), "post_tags": x_tags(spark, sf, day),
+            "post_relations": x_relations(spark, sf, day)}
 
 
 # --- item feeds (JSON) -----------------------------------------------------

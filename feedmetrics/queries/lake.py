@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedmetrics.functions import casts
 from feedmetrics.functions.times import utc_text
@@ -17,8 +18,8 @@ from feedmetrics.queries.feeds import DAY, INGEST, RUN, STAMP, table
 from feedmetrics.queries.registry import query
 from feedmetrics.schemas import GOLD, HN, HN_ITEM_TYPES, PLATFORM_KEYS, SILVER, WAREHOUSE, X, warehouse_table
 from feedmetrics.session import scratch_dir
-from feedmetrics.sources import bronze, lake, pages, warehouse
-from feedmetrics.streaming.alarms import error_alarms
+from feedmetrics.sources import bronze, files, lake, pages, warehouse
+from feedmetrics.streaming.alarms import alarm_changes, error_alarms
 
 # --- bronze --------------------------------------------------------------------
 
@@ -76,21 +77,138 @@ def bronze_x_payloads(spark, sf):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _write_documents(spark, items: DataFrame, paths: dict[str, str], head: Column, tail: Column) -> None:
+    """items(key, place, item) -> one JSON file per key at its path, in one line: head, the items, tail.
+
+    A file is one task's work, since it is one file; rows stream through it.
+    """
+    order = Window.partitionBy("key").orderBy("place")
+    text = F.concat(F.when(F.lag("place").over(order).isNull(), head).otherwise(","), F.to_json("item"),
+                    F.when(F.lead("place").over(order).isNull(), tail).otherwise(""))
+    stage = scratch_dir(spark, "documents")
+    (items.select("key", text.alias("text")).write.partitionBy("key").option("lineSep", " ")
+     .option("maxRecordsPerFile", 0).text(stage))
+    for key, path in paths.items():
+        written = files.only_file(spark, f"{stage}/key={key}")
+        if written is None:
+            (spark.range(1).select(F.lit(key).alias("key")).select(F.concat(head, tail)).coalesce(1)
+             .write.text(f"{stage}/none-{key}"))
+            written = files.only_file(spark, f"{stage}/none-{key}")
+        files.rename(spark, written, path)
+
+
+@query("bronze_hn_documents", f"""
+SELECT CAST(event_id AS VARCHAR) AS object_id, {sql.choose('event_type', feeds.ITEM_TYPE)} AS item_type, value AS points
+FROM events""")
+def bronze_hn_documents(spark, sf):
+    """Items landed as the collectors print them: one array in one line per type."""
+    root = scratch_dir(spark, "bronze")
+    items = feeds.hn_items(spark, sf).select(F.col("item_type").alias("key"), F.col("pos").alias("place"), "item")
+    folder = bronze.hn_folder(root, INGEST, DAY)
+    _write_documents(spark, items, {name: f"{folder}/{name}/part-000.json" for name in HN_ITEM_TYPES},
+                     F.lit("["), F.lit("]"))
+    item = F.col("item")
+    return bronze.read_hn(spark, root, INGEST, DAY).select(
+        casts.id_text(item, "$.objectID").alias("object_id"), "item_type",
+        F.try_variant_get(item, "$.points", "double").alias("points"))
+
+
+# Return flag and line status of an order line -> the form of the payload its posts are in.
+_FORM = """CASE WHEN l_returnflag = 'A' THEN 'array' WHEN l_returnflag = 'N' THEN 'tweets'
+  WHEN l_linestatus = 'F' THEN 'data' ELSE 'other' END"""
+
+
+@query("bronze_x_documents", f"""
+SELECT form, id, count(*) AS n FROM (SELECT {_FORM} AS form, unnest([l_partkey, l_suppkey]) AS id FROM lineitem)
+WHERE form <> 'other' GROUP BY ALL""")
+def bronze_x_documents(spark, sf):
+    """A payload file for each accepted form and one other, each in one line."""
+    root, forms = scratch_dir(spark, "bronze"), ("array", "tweets", "data", "other")
+    posts = table(spark, sf, "lineitem").select(
+        F.expr(_FORM).alias("key"), "l_orderkey", "l_linenumber",
+        F.posexplode(F.array("l_partkey", "l_suppkey")).alias("pos", "id"))
+    items = posts.select("key", F.struct("l_orderkey", "l_linenumber", "pos").alias("place"), F.struct(
+        "id", F.lit("a \"} ],{ b").alias("text"), F.struct(F.array(F.struct(F.lit(1).alias("x")))).alias("of")).alias("item"))
+    before = {"array": "[", "tweets": '{"meta": {"n": {"m": 1}}, "data": [{"id": 1}, {"id": 2}], "tweets": [',
+              "data": '{"tweets": {"a": {}, "b": {}}, "data": [', "other": '{"items": ['}
+    after = {"array": "]", "tweets": '], "includes": [{"id": 3}, {"id": 4}]}', "data": ", 5, {}, []]}", "other": "]}"}
+    of_form = lambda texts: F.create_map(*(F.lit(t) for pair in texts.items() for t in pair))[F.col("key")]
+    _write_documents(spark, items, {form: f"{bronze.x_folder(root, INGEST, form)}/tweets.json" for form in forms},
+                     of_form(before), of_form(after))
+    found = reduce(DataFrame.unionByName, (
+        bronze.read_x(spark, root, INGEST, form).select(F.lit(form).alias("form"), "item") for form in forms))
+    ids = found.select("form", casts.int_of(F.col("item"), "$.id").alias("id")).where("id IS NOT NULL")
+    return ids.groupBy("form", "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("landing_check", """
+SELECT 'right' AS dataset_name, count(*) AS announced, count(*) AS records, sum(o_orderkey)::BIGINT AS ids FROM orders
+UNION ALL SELECT 'wrong', count(*) + 1, 0, 0 FROM orders""")
+def landing_check(spark, sf):
+    """Two datasets of the same records; one announces another number, and nothing of it is landed."""
+    source, root = scratch_dir(spark, "datasets"), scratch_dir(spark, "bronze")
+    orders = table(spark, sf, "orders")
+    count = orders.count()
+    announced, found = {"right": count, "wrong": count + 1}, []
+    for name, number in announced.items():
+        items = orders.select(F.lit("tweets").alias("key"), F.col("o_orderkey").alias("place"), F.struct(
+            F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("text")).alias("item"))
+        _write_documents(spark, items, {"tweets": f"{source}/{name}/tweets.json"}, F.lit("["), F.lit("]"))
+        metadata = spark.range(1).select(F.lit("metadata").alias("key"), F.lit(0).alias("place"),
+                                         F.struct(F.lit(number).alias("record_count")).alias("item"))
+        _write_documents(spark, metadata, {"metadata": f"{source}/{name}/metadata.json"}, F.lit(""), F.lit(""))
+        try:
+            bronze.land_x_dataset(spark, f"{source}/{name}", root, INGEST, name)
+        except ValueError as error:
+            if "announces" not in str(error):
+                raise
+        landed = files.exists(spark, bronze.x_folder(root, INGEST, name))
+        rows = bronze.read_x(spark, root, INGEST, name) if landed else found[0].limit(0)
+        found.append(rows)
+    return reduce(DataFrame.unionByName, (
+        rows.agg(F.count(F.lit(1)).alias("records"),
+                 F.coalesce(F.sum(casts.int_of(F.col("item"), "$.id")), F.lit(0)).alias("ids"))
+        .select(F.lit(name).alias("dataset_name"), F.lit(number).cast("bigint").alias("announced"), "records", "ids")
+        for (name, number), rows in zip(announced.items(), found)))
+
+
+@query("landed_profiles", """
+SELECT 'user' || c_custkey AS username, CASE WHEN c_nationkey < 20 THEN floor(c_acctbal)::BIGINT END AS karma,
+  CASE WHEN c_nationkey > 4 THEN c_custkey * 86400 END AS created FROM customer""")
+def landed_profiles(spark, sf):
+    """Profiles from landed lines, with numbers, numbers as text, and text that is no number."""
+    path = scratch_dir(spark, "profiles")
+    number, nation = F.floor("c_acctbal").cast("bigint"), F.col("c_nationkey")
+    karma = F.when(nation < 10, F.concat(F.lit(" "), number, F.lit(" "))).when(nation >= 20, F.lit("many"))
+    lines = table(spark, sf, "customer").select(F.concat(
+        F.lit('{"username": "user'), F.col("c_custkey"), F.lit('", "karma": '),
+        F.when(karma.isNotNull(), F.concat(F.lit('"'), karma, F.lit('"'))).otherwise(number.cast("string")),
+        F.when(nation > 4, F.concat(F.lit(', "created": '), F.col("c_custkey") * 86400)).otherwise(', "created": null'),
+        F.lit("}")).alias("value"))
+    lines.write.text(path)
+    return bronze.read_profiles(spark, path)
+
+
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE t = '{k}') AS {k}" for k in HN_ITEM_TYPES)
 
 
+_KEYS = ", ".join(f"CASE WHEN {k} > 0 THEN '/ingest_date={INGEST}/data_date={DAY}/lines/item_type={k}' END AS {k}_key"
+                  for k in HN_ITEM_TYPES)
+
+
 @query("bronze_manifest", f"""
 SELECT 'hacker-news' AS source, 'hn-search-api' AS api, 'success' AS status, '{DAY}' AS data_date,
   '{INGEST}' AS ingest_date, CAST(1706659200 AS BIGINT) AS start_ts, CAST(1706745600 AS BIGINT) AS end_ts, {_COUNTS},
-  count(*) AS total_collected_count
+  count(*) AS total_collected_count, '/ingest_date={INGEST}/data_date={DAY}' AS base, {_KEYS}
 FROM (SELECT {sql.choose('event_type', feeds.ITEM_TYPE)} AS t FROM events)""")
 def bronze_manifest(spark, sf):
     root = scratch_dir(spark, "bronze")
     row = bronze.manifest(feeds.hn_items(spark, sf), root, INGEST, DAY)
     bronze.write_manifest(row, root, INGEST, DAY)
     landed = spark.read.schema(row.schema).json(f"{bronze.hn_folder(root, INGEST, DAY)}/metadata")
+    keys = [F.replace(f"written_keys.{k}", F.lit(root), F.lit("")).alias(f"{k}_key") for k in HN_ITEM_TYPES]
     return landed.select("source", "api", "status", "data_date", "ingest_date", "start_ts", "end_ts", "counts.*",
-                         "total_collected_count")
+                         "total_collected_count", F.replace("base_prefix", F.lit(root), F.lit("")).alias("base"), *keys)
 
 
 # --- silver and gold files -------------------------------------------------------
@@ -260,22 +378,57 @@ def batch_alarms(spark, sf):
     return _alarm_text(error_alarms(feeds.function_errors(spark, sf)))
 
 
+def _errors_stream(spark, sf) -> DataFrame:
+    events = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    return events.select(F.col("ts").cast("timestamp").alias("ts"),
+                         F.concat(F.lit("job-"), "user_id").alias("function_name"),
+                         (F.col("event_type") == "error").cast("bigint").alias("errors"))
+
+
+def _run_stream(spark, df: DataFrame) -> DataFrame:
+    """What a stream has written once its input is read to the end."""
+    out = scratch_dir(spark, "alarms")
+    run = (df.writeStream.format("parquet").outputMode("append").option("path", f"{out}/rows")
+           .option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start())
+    run.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{out}/rows")
+
+
 @query("error_alarms_stream", f"""
 SELECT {_ALARM_COLUMNS} FROM {_ALARMS}
 WHERE s + INTERVAL 5 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""")
 def stream_alarms(spark, sf):
     """The same rule on a stream read to its end: periods the watermark has closed."""
-    out = scratch_dir(spark, "alarms")
-    schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
-    errors = events.select(F.col("ts").cast("timestamp").alias("ts"),
-                           F.concat(F.lit("job-"), "user_id").alias("function_name"),
-                           (F.col("event_type") == "error").cast("bigint").alias("errors"))
-    alarms = error_alarms(errors)
-    run = (alarms.writeStream.format("parquet").outputMode("append").option("path", f"{out}/rows")
-           .option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start())
-    run.awaitTermination()
-    return _alarm_text(spark.read.schema(alarms.schema).parquet(f"{out}/rows"))
+    return _alarm_text(_run_stream(spark, error_alarms(_errors_stream(spark, sf))))
+
+
+_ALARM_CHANGES = f"""
+WITH closed AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS until FROM events),
+b AS (SELECT *, s + INTERVAL 5 MINUTE AS e, lag(s) OVER (PARTITION BY function_name ORDER BY s) AS p,
+        lead(s) OVER (PARTITION BY function_name ORDER BY s) AS q
+      FROM (SELECT function_name, s FROM {_ALARMS}, closed WHERE s + INTERVAL 5 MINUTE <= until))
+SELECT function_name, 'ALARM' AS state, strftime(s, '%Y-%m-%dT%H:%M:%SZ') AS changed_at FROM b
+WHERE p IS NULL OR p + INTERVAL 5 MINUTE < s
+UNION ALL SELECT function_name, 'OK', strftime(e, '%Y-%m-%dT%H:%M:%SZ') FROM b, closed
+WHERE (q IS NULL OR q > e) AND e + INTERVAL 5 MINUTE <= until"""
+
+
+def _change_text(changes: DataFrame) -> DataFrame:
+    return changes.select("function_name", "state", utc_text(F.col("changed_at")).alias("changed_at"))
+
+
+@query("alarm_changes", _ALARM_CHANGES)
+def batch_changes(spark, sf):
+    """Alarms raised and taken back, in a table closed where the stream's watermark ends."""
+    errors = feeds.function_errors(spark, sf)
+    latest = errors.agg(F.date_trunc("millisecond", F.max("ts")).alias("ts")).select(
+        F.col("ts") - F.expr("INTERVAL 10 MINUTES")).scalar()
+    return _change_text(alarm_changes(errors, closed_until=latest))
+
+
+@query("alarm_changes_stream", _ALARM_CHANGES)
+def stream_changes(spark, sf):
+    return _change_text(_run_stream(spark, alarm_changes(_errors_stream(spark, sf))))
 
 
 # --- jobs ----------------------------------------------------------------------------
@@ -315,93 +468,163 @@ def _report(tables: dict[str, str], platform: str) -> str:
     return " UNION ALL ".join(sql.quality_row(name, rows, platform) for name, rows in tables.items())
 
 
-HN_REPORT = _report({"users": sql.SILVER_HN_USERS, "posts": sql.SILVER_HN_POSTS, "post_tags": sql.SILVER_HN_TAGS,
-                     "post_relations": sql.SILVER_HN_RELATIONS}, HN)
-X_REPORT = _report({"users": sql.SILVER_X_USERS, "posts": sql.SILVER_X_POSTS, "post_tags": sql.SILVER_X_TAGS,
-                    "post_relations": sql.SILVER_X_RELATIONS}, X)
+# Silver and gold tables have names of their own, but for those that both platforms have alike.
+LAYOUTS = {name: layout.names for tables in (SILVER, *GOLD.values()) for name, layout in tables.items()}
+
+
+def _row_hashes(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, key, row_hash of every row of these tables, as ``sql.row_hashes`` has them."""
+
+    def hashed(name: str, df: DataFrame) -> DataFrame:
+        names = LAYOUTS[name]
+        cells = (F.coalesce((F.col(c).cast("decimal(9,2)") if c == "data_quality_score" else F.col(c)).cast("string"),
+                            F.lit("~")) for c in names)
+        return df.select(F.lit(name).alias("table_name"), F.col(names[0]).cast("string").alias("key"),
+                         F.md5(F.concat_ws("|", *cells)).alias("row_hash"))
+
+    return reduce(DataFrame.unionByName, (hashed(name, df) for name, df in tables.items()))
+
+
+def _silver_hashes(silver: dict[str, str]) -> str:
+    return " UNION ALL ".join(sql.row_hashes(name, SILVER[name].names, rows) for name, rows in silver.items())
+
+
+def _gold_hashes(platform: str, tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(sql.row_hashes(name, GOLD[platform][name].names, tables[name]) for name in GOLD[platform])
 
 
-@query("job_hn_silver", HN_REPORT)
+def _read_gold(spark, root: str, platform: str, day: str) -> dict[str, DataFrame]:
+    return {name: lake.read_gold(spark, f"{root}/gold", platform, name, day)[0] for name in GOLD[platform]}
+
+
+HN_SILVER = {"users": sql.SILVER_HN_USERS, "posts": sql.SILVER_HN_POSTS, "post_tags": sql.SILVER_HN_TAGS,
+             "post_relations": sql.SILVER_HN_RELATIONS}
+X_SILVER = {"users": sql.SILVER_X_USERS, "posts": sql.SILVER_X_POSTS, "post_tags": sql.SILVER_X_TAGS,
+            "post_relations": sql.SILVER_X_RELATIONS}
+
+
+@query("job_hn_silver", _silver_hashes({**HN_SILVER, "data_quality_report": _report(HN_SILVER, HN)}))
 def job_hn_silver(spark, sf):
+    """Every row of the five tables that the job wrote."""
     root = _hn_silver(spark, sf)
-    return lake.read_silver(spark, f"{root}/silver", "data_quality_report", HN, DAY)
+    return _row_hashes({name: lake.read_silver(spark, f"{root}/silver", name, HN) for name in SILVER})
 
 
-@query("job_x_silver", X_REPORT)
+@query("job_x_silver", _silver_hashes({**X_SILVER, "data_quality_report": _report(X_SILVER, X)}))
 def job_x_silver(spark, sf):
+    """Every row of the five tables that the job wrote."""
     root = _x_silver(spark, sf)
-    return lake.read_silver(spark, f"{root}/silver", "data_quality_report", X, DAY)
+    return _row_hashes({name: lake.read_silver(spark, f"{root}/silver", name, X) for name in SILVER})
+
+
+def _quality_summary(report: str) -> str:
+    return f"SELECT *, '{STAMP}' AS gold_processed_at_utc FROM ({report})"
 
 
-_HN_DAY_POSTS = f"(SELECT *EXCLUDE (year, month, day), data_date AS date FROM ({sql.SILVER_HN_POSTS}))"
-_HN_DAY_TOP = f"""
-SELECT {sql.base(HN)}, rank, post_id, source_post_id, author_user_id, author_username, post_type, title, url, score
-FROM (SELECT *, row_number() OVER (PARTITION BY date, post_type ORDER BY score DESC, source_post_id DESC) AS rank
-  FROM {_HN_DAY_POSTS} WHERE post_type IN ('story', 'job') AND score IS NOT NULL) WHERE rank <= 10"""
+def _hn_gold_sql(silver: dict[str, str], posts: str | None = None) -> dict[str, str]:
+    """SQL of the seven tables; the posts may be fewer than those that the quality report saw."""
+    posts = posts or silver["posts"]
+    return {"daily_item_counts": sql.daily_item_counts(posts),
+            "daily_users_metric": sql.daily_users_metric(silver["users"], HN),
+            "top_story_posts": sql.top_posts_by_score("story", posts),
+            "top_job_posts": sql.top_posts_by_score("job", posts),
+            "top_users_by_karma": sql.top_users_by_karma("DESC", silver["users"]),
+            "bottom_users_by_karma": sql.top_users_by_karma("ASC", silver["users"]),
+            "data_quality_summary": _quality_summary(_report(silver, HN))}
 
 
-@query("job_hn_gold", _HN_DAY_TOP)
+def _x_gold_sql(silver: dict[str, str]) -> dict[str, str]:
+    return {"daily_users_metric": sql.daily_users_metric(silver["users"], X),
+            "top_users_by_followers": sql.top_users_by_followers(silver["users"]),
+            "top_posts_by_engagement": sql.top_posts_by_engagement(silver["posts"]),
+            "hashtag_trends": sql.hashtag_trends(silver["post_tags"]),
+            "data_quality_summary": _quality_summary(_report(silver, X))}
+
+
+@query("job_hn_gold", _gold_hashes(HN, _hn_gold_sql(HN_SILVER)))
 def job_hn_gold(spark, sf):
-    """Bronze to gold for a day whose posts were created on other days too."""
+    """Bronze to gold for a day whose posts were created on other days too: every row of the seven tables."""
     root = _hn_silver(spark, sf)
     jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", DAY, STAMP)
-    return reduce(DataFrame.unionByName, (
-        lake.read_gold(spark, f"{root}/gold", HN, name, DAY)[0] for name in ("top_story_posts", "top_job_posts")))
+    return _row_hashes(_read_gold(spark, root, HN, DAY))
+
+
+_STRICT_DAY = "2024-01-15"
 
 
-@query("job_hn_gold_strict", f"""
-SELECT {sql.base(HN)}, {", ".join(f"count(*) FILTER (WHERE t = '{k}') AS {k}_count" for k in HN_ITEM_TYPES)},
-  count(*) AS total_count
-FROM (SELECT '2024-01-15' AS date, {sql.choose('event_type', feeds.ITEM_TYPE)} AS t FROM events
-      WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15') GROUP BY date""")
+def _of_strict_day(rows: str) -> str:
+    """The silver SQL of a run for another data date in the same month."""
+    return rows.replace(f"'{DAY}'", f"'{_STRICT_DAY}'").replace(f"'{DAY[8:]}' AS day", f"'{_STRICT_DAY[8:]}' AS day")
+
+
+_STRICT_SILVER = {name: _of_strict_day(rows) for name, rows in HN_SILVER.items()}
+_STRICT_GOLD = {name: _of_strict_day(rows) for name, rows in _hn_gold_sql(_STRICT_SILVER, (
+    f"SELECT * FROM ({_STRICT_SILVER['posts']}) WHERE created_at_utc LIKE '{_STRICT_DAY}%'")).items()}
+
+
+@query("job_hn_gold_strict", _gold_hashes(HN, _STRICT_GOLD))
 def job_hn_gold_strict(spark, sf):
-    """The strict form: only the day's own partition is read."""
+    """The strict form, of the day's own partition alone: every row of the seven tables."""
     root = scratch_dir(spark, "job")
-    bronze.write_hn_items(feeds.hn_items(spark, sf), f"{root}/bronze", INGEST, "2024-01-15")
-    jobs.hn_silver(spark, f"{root}/bronze", f"{root}/silver", "2024-01-15", INGEST, STAMP)
-    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", "2024-01-15", STAMP, strict_created_day=True)
-    return lake.read_gold(spark, f"{root}/gold", HN, "daily_item_counts", "2024-01-15")[0]
+    bronze.write_hn_items(feeds.hn_items(spark, sf), f"{root}/bronze", INGEST, _STRICT_DAY)
+    jobs.hn_silver(spark, f"{root}/bronze", f"{root}/silver", _STRICT_DAY, INGEST, STAMP,
+                   profiles=feeds.profiles(spark, sf))
+    jobs.hn_gold(spark, f"{root}/silver", f"{root}/gold", _STRICT_DAY, STAMP, strict_created_day=True)
+    return _row_hashes(_read_gold(spark, root, HN, _STRICT_DAY))
 
 
-@query("job_x_gold", sql.hashtag_trends(sql.SILVER_X_TAGS))
+@query("job_x_gold", _gold_hashes(X, _x_gold_sql(X_SILVER)))
 def job_x_gold(spark, sf):
+    """Every row of the five tables that the job wrote."""
     root = _x_silver(spark, sf)
     jobs.x_gold(spark, f"{root}/silver", f"{root}/gold", DAY, STAMP)
-    return lake.read_gold(spark, f"{root}/gold", X, "hashtag_trends", DAY)[0]
+    return _row_hashes(_read_gold(spark, root, X, DAY))
 
 
 HN_LOAD_DAY = "2024-01-15"
-_X_LOAD_DAY = "(SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders)"
-
+_X_LOAD_DAY = "(SELECT strftime(max(o_orderdate), '%Y-%m-01') FROM orders)"
 
-def _loaded(spark, sf) -> tuple[str, dict[str, str], DataFrame]:
-    """Gold of a day of events and of the last day of orders, loaded into one warehouse.
 
-    Gives the database, the day of each platform and the report of both loads.
-    """
-    root, database = scratch_dir(spark, "job"), f"warehouse_{uuid.uuid4().hex[:12]}"
+def _gold_of_all_days(spark, sf) -> tuple[str, dict[str, str]]:
+    """Silver and gold of all events by day and all orders by month; the gold root and the days to load."""
+    root = scratch_dir(spark, "job")
     days = {HN: HN_LOAD_DAY,
-            X: table(spark, sf, "orders").agg(F.max(feeds.day_text("o_orderdate"))).first()[0]}
+            X: table(spark, sf, "orders").agg(F.max(feeds.month_text("o_orderdate"))).first()[0]}
     none = {name: spark.createDataFrame([], SILVER[name]) for name in ("post_tags", "post_relations")}
     silver = {HN: {"users": feeds.hn_users(spark, sf), "posts": feeds.hn_posts(spark, sf), **none},
-              X: feeds.x_silver(spark, sf)}
-    build = {HN: gold.hn_gold_tables, X: gold.x_gold_tables}
+              X: feeds.x_silver(spark, sf, feeds.month_text)}
+    make_gold = {HN: jobs.hn_gold, X: jobs.x_gold}
     for platform, tables in silver.items():
-        tables["data_quality_report"] = quality_report(tables, platform, days[platform], INGEST, STAMP)
-        on_its_day = {name: on_day(rows, days[platform]) for name, rows in tables.items()}
-        lake.write_gold(spark, build[platform](on_its_day, STAMP), f"{root}/gold", platform)
-    reports = [jobs.load_warehouse(spark, f"{root}/gold", database, f"{root}/warehouse", key, data_date=days[platform])
+        report = quality_report(tables, platform, days[platform], INGEST, STAMP)
+        lake.write_silver(spark, {**tables, "data_quality_report": report}, f"{root}/silver")
+        make_gold[platform](spark, f"{root}/silver", f"{root}/gold", processed_at=STAMP)
+    return f"{root}/gold", days
+
+
+def _load(spark, gold_root: str, days: dict[str, str]) -> tuple[str, DataFrame]:
+    """Loads the day of each platform into a new warehouse: the database and the report of both loads."""
+    database = f"warehouse_{uuid.uuid4().hex[:12]}"
+    reports = [jobs.load_warehouse(spark, gold_root, database, f"{gold_root}-{database}", key, data_date=days[platform])
                for key, platform in PLATFORM_KEYS.items()]
-    return database, days, reduce(DataFrame.unionByName, reports)
+    return database, reduce(DataFrame.unionByName, reports)
+
+
+def _loaded(spark, sf) -> tuple[str, dict[str, str], DataFrame]:
+    """Gold of all days, of which the load picks one per platform: the database, the days, the report."""
+    gold_root, days = _gold_of_all_days(spark, sf)
+    database, report = _load(spark, gold_root, days)
+    return database, days, report
 
 
 _GOLD_SQL = {
     HN: {"daily_item_counts": sql.DAILY_ITEM_COUNTS, "daily_users_metric": sql.daily_users_metric(sql.HN_USERS, HN),
          "top_story_posts": sql.top_posts_by_score("story"), "top_job_posts": sql.top_posts_by_score("job"),
          "top_users_by_karma": sql.top_users_by_karma("DESC"), "bottom_users_by_karma": sql.top_users_by_karma("ASC")},
-    X: {"daily_users_metric": sql.daily_users_metric(sql.X_USERS, X),
-        "top_users_by_followers": sql.TOP_USERS_BY_FOLLOWERS, "top_posts_by_engagement": sql.TOP_POSTS_BY_ENGAGEMENT,
-        "hashtag_trends": sql.hashtag_trends()},
+    X: {name: re.sub(r"strftime\((o_orderdate|l_shipdate), '%Y-%m-%d'\)", r"strftime(\1, '%Y-%m-01')", rows)
+        for name, rows in {
+            "daily_users_metric": sql.daily_users_metric(sql.X_USERS, X),
+            "top_users_by_followers": sql.TOP_USERS_BY_FOLLOWERS,
+            "top_posts_by_engagement": sql.TOP_POSTS_BY_ENGAGEMENT, "hashtag_trends": sql.hashtag_trends()}.items()},
 }
 _ON_DAY = {HN: f"WHERE date = '{HN_LOAD_DAY}'", X: f"WHERE date = {_X_LOAD_DAY}"}
 
@@ -484,16 +707,24 @@ def warehouse_tables(spark, sf):
     return _table_counts(spark, f"{database}_again", days)
 
 
+def _break(load: warehouse.Load, day: str) -> warehouse.Load:
+    """The load with a row that cannot be read."""
+    schema = warehouse.table_schema(load.table)
+    wrong = next(f.name for f in schema if f.dataType.simpleString() == "bigint")
+    given = {"platform": F.lit(HN), "date": F.lit(day), "data_date": F.lit(day),
+             wrong: F.raise_error(F.lit("unreadable")).cast("bigint")}
+    load.rows = load.rows.sparkSession.range(1).select(
+        *(given.get(f.name, F.lit(None)).alias(f.name) for f in schema))
+    return load
+
+
 @query("load_rollback", _TABLE_ROWS)
 def load_rollback(spark, sf):
-    """A load with one unreadable dataset changes no table."""
+    """A load with one unreadable dataset changes no table, though others of it were written."""
     database, days, _ = _loaded(spark, sf)
     loads = [warehouse.Load(platform, dataset, name, "", {}, warehouse.day_rows(spark, database, name, days[platform])
                             .limit(0), False) for name, (platform, dataset) in WAREHOUSE.items() if platform == HN]
-    broken = loads[-1]
-    broken.rows = broken.rows.sparkSession.range(1).select(
-        F.raise_error(F.lit("unreadable")).cast("string").alias("platform"),
-        *(F.lit(None).alias(f.name) for f in warehouse.table_schema(broken.table) if f.name != "platform"))
+    _break(loads[-1], days[HN])
     try:
         warehouse.load_all_or_nothing(spark, database, loads, days[HN])
     except Exception as error:  # noqa: BLE001  whatever Spark wraps it in
@@ -502,3 +733,73 @@ def load_rollback(spark, sf):
     else:
         raise ValueError("the broken load went through")
     return _table_counts(spark, database, days)
+
+
+def _other_day_rows(dataset: str) -> str:
+    """SQL for the rows of an HN dataset on the day after the one loaded."""
+    if dataset == "data_quality_summary":
+        return "0"
+    return f"(SELECT count(*) FROM ({_GOLD_SQL[HN][dataset]}) WHERE date = '{HN_NEXT_DAY}')"
+
+
+HN_NEXT_DAY = "2024-01-16"
+
+
+@query("load_interrupted", " UNION ALL ".join(
+    f"SELECT {n} AS step, table_name, row_count FROM ({rows})" for n, rows in enumerate((_TABLE_ROWS, _TABLE_ROWS, " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {_other_day_rows(dataset) if platform == HN else _loaded_rows(platform, dataset)} AS row_count"
+        for name, (platform, dataset) in WAREHOUSE.items())))))
+def load_interrupted(spark, sf):
+    """A driver lost between two tables, seen from another session, and the same load once more.
+
+    After a load (0), the versions of half the tables of another are written and
+    its driver is gone (1): readers still have the first, of every table. The
+    load run again (2) is there as a whole; then what the others left behind,
+    superseded and lost, is removed.
+    """
+    gold_root, days = _gold_of_all_days(spark, sf)
+    database, _ = _load(spark, gold_root, days)
+    reader, out, steps = spark.newSession(), scratch_dir(spark, "steps"), []
+
+    def look() -> None:
+        """Writes down what another session finds."""
+        for name in (warehouse.LOG, *(f"{name}_versions" for name in WAREHOUSE)):
+            reader.catalog.refreshTable(f"{database}.{name}")
+        path = f"{out}/{len(steps)}"
+        _table_counts(reader, database, days).write.parquet(path)
+        steps.append(path)
+
+    look()
+    loads = warehouse.requested_loads(spark, gold_root, HN_NEXT_DAY, ["hacker-news"])
+    # The rows of another day under the loaded one's date, to replace it.
+    for load in loads:
+        load.rows = load.rows.withColumn("data_date" if "data_date" in load.rows.columns else "date", F.lit(days[HN]))
+    for load in loads[:len(loads) // 2]:
+        warehouse.write_version(spark, database, "lost", load.table, load.rows, days[HN])
+    look()
+    warehouse.load_all_or_nothing(spark, database, loads, days[HN])
+    warehouse.drop_superseded(spark, database, lost=["lost"])
+    look()
+    counts = spark.createDataFrame([], "table_name string, row_count bigint").schema
+    return reduce(DataFrame.unionByName, (
+        spark.read.schema(counts).parquet(path).withColumn("step", F.lit(n)) for n, path in enumerate(steps)))
+
+
+_VIEW_TOTALS = " UNION ALL ".join(
+    f"SELECT {n} AS warehouse, '{view}' AS view_name, {' + '.join(_loaded_rows(*source) for source in sources if n == 0 or source[0] == HN) or 0} AS row_count"
+    for n in (0, 1) for view, sources in _VIEW_ROWS.items())
+
+
+@query("views_of_other_sessions", _VIEW_TOTALS)
+def views_of_other_sessions(spark, sf):
+    """The views of two databases, of which one has no X data, read in a session that registered none of them."""
+    gold_root, days = _gold_of_all_days(spark, sf)
+    database, _ = _load(spark, gold_root, days)
+    other = f"{database}_hn"
+    jobs.load_warehouse(spark, gold_root, other, f"{gold_root}-{other}", "hacker-news", data_date=days[HN])
+    for name in (database, other):
+        jobs.apply_views(spark, name)
+    reader = spark.newSession()
+    return reduce(DataFrame.unionByName, (
+        views.view_counts(reader, name).select(F.lit(n).alias("warehouse"), "view_name", "row_count")
+        for n, name in enumerate((database, other))))

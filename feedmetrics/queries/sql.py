@@ -122,17 +122,25 @@ def top_users_by_karma(direction: str, users: str = HN_USERS) -> str:
             f"FROM ({users}) WHERE karma_score IS NOT NULL) WHERE rank <= 10")
 
 
-TOP_USERS_BY_FOLLOWERS = (
-    f"SELECT {base(X)}, rank, user_id, source_user_id, username, display_name, followers_count, following_count, "
-    "is_verified FROM (SELECT *EXCLUDE (year, month, day), data_date AS date, row_number() OVER (PARTITION BY data_date "
-    f"ORDER BY followers_count DESC, username DESC) AS rank FROM ({X_USERS})) WHERE rank <= 10")
+def top_users_by_followers(users: str = X_USERS) -> str:
+    return (f"SELECT {base(X)}, rank, user_id, source_user_id, username, display_name, followers_count, "
+            "following_count, is_verified FROM (SELECT *EXCLUDE (year, month, day), data_date AS date, row_number() "
+            "OVER (PARTITION BY data_date ORDER BY followers_count DESC, username DESC, user_id DESC) AS rank "
+            f"FROM ({users}) WHERE followers_count IS NOT NULL) WHERE rank <= 10")
 
-TOP_POSTS_BY_ENGAGEMENT = (
-    f"SELECT {base(X)}, rank, {_POST_COLUMNS}, content_text, like_count, retweet_count, reply_count, quote_count, "
-    "engagement_count FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY engagement_count DESC, "
-    "source_post_id DESC) AS rank FROM (SELECT *EXCLUDE (year, month, day), data_date AS date, "
-    "coalesce(like_count,0)+coalesce(retweet_count,0)+coalesce(reply_count,0)+coalesce(quote_count,0) "
-    f"AS engagement_count FROM ({X_POSTS}))) WHERE rank <= 10")
+
+TOP_USERS_BY_FOLLOWERS = top_users_by_followers()
+
+
+def top_posts_by_engagement(posts: str = X_POSTS) -> str:
+    return (f"SELECT {base(X)}, rank, {_POST_COLUMNS}, content_text, like_count, retweet_count, reply_count, "
+            "quote_count, engagement_count FROM (SELECT *, row_number() OVER (PARTITION BY date "
+            "ORDER BY engagement_count DESC, source_post_id DESC) AS rank FROM (SELECT *EXCLUDE (year, month, day), "
+            "data_date AS date, coalesce(like_count,0)+coalesce(retweet_count,0)+coalesce(reply_count,0)"
+            f"+coalesce(quote_count,0) AS engagement_count FROM ({posts}))) WHERE rank <= 10")
+
+
+TOP_POSTS_BY_ENGAGEMENT = top_posts_by_engagement()
 
 
 def hashtag_trends(tags: str = X_TAGS) -> str:
@@ -141,10 +149,13 @@ def hashtag_trends(tags: str = X_TAGS) -> str:
             f"FROM ({tags}) WHERE tag_type = 'hashtag' AND tag <> '' GROUP BY ALL)")
 
 
-DAILY_ITEM_COUNTS = (
-    f"SELECT {base(HN)}, " + ", ".join(
-        f"count(*) FILTER (WHERE post_type = '{k}') AS {k}_count" for k in HN_ITEM_TYPES)
-    + f", count(*) AS total_count FROM (SELECT data_date AS date, post_type FROM ({HN_POSTS})) GROUP BY date")
+def daily_item_counts(posts: str = HN_POSTS) -> str:
+    kinds = ", ".join(f"count(*) FILTER (WHERE post_type = '{k}') AS {k}_count" for k in HN_ITEM_TYPES)
+    return (f"SELECT {base(HN)}, {kinds}, count(*) AS total_count FROM (SELECT data_date AS date, post_type "
+            f"FROM ({posts})) GROUP BY date")
+
+
+DAILY_ITEM_COUNTS = daily_item_counts()
 
 
 def daily_users_metric(users: str, platform: str) -> str:
@@ -152,6 +163,14 @@ def daily_users_metric(users: str, platform: str) -> str:
             f"FROM (SELECT data_date AS date, user_id FROM ({users})) GROUP BY date")
 
 
+def row_hashes(table: str, names: list[str], rows: str) -> str:
+    """table_name, key (the first column) and a hash over all columns, of every row of a table."""
+    cells = ", ".join(f"coalesce(CAST({f'CAST({c} AS DECIMAL(9,2))' if c == 'data_quality_score' else c} AS VARCHAR), '~')"
+                      for c in names)
+    return (f"SELECT '{table}' AS table_name, {names[0]} AS key, md5(concat_ws('|', {cells})) AS row_hash "
+            f"FROM ({rows})")
+
+
 def quality_row(name: str, rows: str, platform: str) -> str:
     filled = " + ".join(f"(CASE WHEN {c} IS NOT NULL AND CAST({c} AS VARCHAR) <> '' THEN 1 ELSE 0 END)"
                         for c in SILVER[name].names)

@@ -41,3 +41,46 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes of a file."""
     fs, hadoop = _path(spark, path)
     return fs.getFileStatus(hadoop).getLen()
+
+
+def only_file(spark: SparkSession, path: str) -> str | None:
+    """The path of a folder's one data file; None where it has none."""
+    fs, hadoop = _path(spark, path)
+    if not fs.exists(hadoop):
+        return None
+    found = [status.getPath() for status in fs.listStatus(hadoop)
+             if status.isFile() and not status.getPath().getName().startswith(("_", "."))]
+    if len(found) > 1:
+        raise ValueError(f"{path} holds {len(found)} files, expected one")
+    return found[0].toString() if found else None
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a file or folder to a path where there is none yet."""
+    fs, hadoop = _path(spark, target)
+    fs.mkdirs(hadoop.getParent())
+    if fs.exists(hadoop) or not fs.rename(_path(spark, source)[1], hadoop):
+        raise OSError(f"Cannot move {source} to {target}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Puts a finished folder in the place of another; that one comes back if the move fails."""
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    old = f"{parent}/_{name}-replaced"
+    there = exists(spark, target)
+    if there:
+        delete(spark, old)
+        rename(spark, target, old)
+    try:
+        rename(spark, staged, target)
+    except Exception:
+        if there:
+            rename(spark, old, target)
+        raise
+    if there:
+        delete(spark, old)

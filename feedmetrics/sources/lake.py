@@ -43,20 +43,21 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str],
     seen = Observation()
     # The set holds one entry per folder written, not per row; a dynamic
     # overwrite's commit keeps the same list on the driver.
-    observed = named.hint("rebalance", *partitions).observe(
+    counted = named.hint("rebalance", *partitions).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.sum("_filled").alias("filled"),
         F.size(F.collect_set(F.struct(*partitions))).alias("folders"))
-    (observed.drop("_filled").write
+    (counted.drop("_filled").write
      .mode("append" if mode == "append" else "overwrite")
      .option("partitionOverwriteMode", "dynamic" if mode == "overwrite_partitions" else "static")
      .option("compression", "snappy").partitionBy(*partitions).parquet(path))
-    counts = _observed(seen)
+    counts = observed(seen)
     rows = counts.get("rows") or 0
     return {"row_count": rows, "non_null_cell_count": counts.get("filled") or 0, "path": path,
             "written": rows > 0, "partitions_written": counts.get("folders") or 0}
 
 
-def _observed(seen: Observation) -> dict:
+def observed(seen: Observation) -> dict:
+    """The metrics of a write that is done."""
     try:
         return seen.get
     except Py4JJavaError:

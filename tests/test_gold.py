@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from feedmetrics.operators.days import on_day, row_date
 from feedmetrics.operators.quality import conform
-from feedmetrics.operators.ranking import presentation_order, rank_all, top_k
+from feedmetrics.operators.ranking import presentation_order, rank_by_count, top_k
 from feedmetrics.plans import gold, views
 from feedmetrics.schemas import GOLD, HN, SILVER, X
 
@@ -112,20 +112,32 @@ def test_on_day_pushes_a_plain_predicate(spark, silver, tmp_path):
     assert df.count() == 1
 
 
-@pytest.mark.parametrize("groups,per_group", [(1, 5000), (40, 50)])
-def test_rank_all_equals_a_window(spark, groups, per_group):
-    """One group that fills many partitions, and many small ones."""
+@pytest.mark.parametrize("groups,per_group,most", [(1, 5000, 20), (40, 50, 3), (3, 400, 1)])
+def test_rank_by_count_equals_a_window(spark, groups, per_group, most):
+    """One large group, many small ones, and counts that all tie; texts that begin alike, and one that is empty."""
     rng = random.Random(groups)
-    rows = [(f"g{g}", rng.randint(0, 20), f"t{i:05d}") for g in range(groups) for i in range(per_group)]
+    rows = [(f"g{g}" if g else None, rng.randint(1, most), rng.choice(["t", "tag", "täglich", "😀", ""]) + (f"{i:05d}" if i else ""))
+            for g in range(groups) for i in range(per_group)]
     df = spark.createDataFrame(rows, "date string, n bigint, tag string")
-    ranked_rows = rank_all(df, ["date"], [F.desc("n"), F.desc("tag")]).collect()
+    ranked_rows = rank_by_count(df, ["date"], "n", "tag").collect()
     expected = {}
     for group in {row[0] for row in rows}:
-        members = sorted((r for r in rows if r[0] == group), key=lambda r: (r[1], r[2]), reverse=True)
+        members = sorted((r for r in rows if r[0] == group), key=lambda r: (r[1], r[2].encode()), reverse=True)
         expected |= {r: i for i, r in enumerate(members, start=1)}
     assert {(r.date, r.n, r.tag): r["rank"] for r in ranked_rows} == expected
 
 
+def test_rank_by_count_runs_nothing_when_built(spark, silver):
+    tags = silver("post_tags", [{"platform": X, "data_date": DAY, "tag": t, "tag_type": "hashtag"} for t in "abca"])
+    spark.sparkContext.setJobGroup("ranking", "ranking")
+    try:
+        df = gold.hashtag_trends(tags, STAMP)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ranking")
+        assert [(r["rank"], r.tag) for r in df.orderBy("rank").collect()] == [(1, "a"), (2, "c"), (3, "b")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_top_k_beyond_the_group_limit_threshold(spark):
     df = spark.range(3000).select(F.lit("g").alias("date"), "id")
     rows = top_k(df, ["date"], [F.desc("id")], 1500).collect()

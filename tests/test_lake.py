@@ -284,22 +284,52 @@ def test_a_bad_dataset_changes_no_table(spark, database):
     assert totals(spark, database) == [(DAY, 1)]
 
 
-def test_a_failed_publish_restores_the_day(spark, database, monkeypatch):
+def test_a_load_that_never_commits_is_not_seen(spark, database, monkeypatch):
     warehouse.replace_date(spark, database, "hn_daily_users_metric", users_metric(spark, DAY, 1), DAY)
-    real, calls = warehouse.replace_date, []
 
-    def failing(spark, database, table, rows, day):
-        calls.append(table)
-        if table == "hn_daily_item_counts" and calls.count(table) == 1:
-            raise RuntimeError("publish failed")
-        real(spark, database, table, rows, day)
+    def lost(*_):
+        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(warehouse, "replace_date", failing)
-    with pytest.raises(RuntimeError, match="publish failed"):
-        warehouse.load_all_or_nothing(spark, database, loads(
-            spark, ("hn_daily_users_metric", users_metric(spark, DAY, 7)),
-            ("hn_daily_item_counts", users_metric(spark, DAY))), DAY)
+    with monkeypatch.context() as patched:
+        patched.setattr(warehouse, "commit", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            warehouse.load_all_or_nothing(spark, database, loads(
+                spark, ("hn_daily_users_metric", users_metric(spark, DAY, 7)),
+                ("hn_daily_item_counts", users_metric(spark, DAY))), DAY)
     assert totals(spark, database) == [(DAY, 1)]
+    warehouse.replace_date(spark, database, "hn_daily_users_metric", users_metric(spark, DAY, 8, 9), DAY)
+    assert warehouse.drop_superseded(spark, database) == 1  # the lost load may be one that runs
+    assert totals(spark, database) == [(DAY, 8), (DAY, 9)]
+    versions = spark.sql(f"SHOW PARTITIONS {database}.hn_daily_users_metric_versions").collect()
+    ids = {v.partition.split("/")[0].split("=")[1] for v in versions}
+    assert warehouse.drop_superseded(spark, database, lost=ids - {spark.table(f"{database}.load_log").orderBy(F.desc("seq")).first().load_id}) == 1
+    assert totals(spark, database) == [(DAY, 8), (DAY, 9)]
+
+
+def test_a_later_commit_wins_in_all_tables(spark, database):
+    for load_id, total in (("b", 1), ("a", 2)):
+        for table in ("hn_daily_users_metric", "x_daily_users_metric"):
+            rows = users_metric(spark, DAY, total).withColumn("platform", F.lit(HN if table.startswith("hn") else X))
+            warehouse.write_version(spark, database, load_id, table, rows, DAY)
+        warehouse.commit(spark, database, load_id, {"hn_daily_users_metric": 1, "x_daily_users_metric": 1}, DAY)
+    assert totals(spark, database) == totals(spark, database, "x_daily_users_metric") == [(DAY, 2)]
+
+
+def test_view_sql_equals_the_plans(spark, tmp_path, database):
+    """Every view, filled, by its SQL in the catalog and by its plan."""
+    for table, (platform, dataset) in warehouse.WAREHOUSE.items():
+        schema = GOLD[platform][dataset]
+        given = {"date": DAY, "data_date": DAY, "platform": platform, "gold_processed_at_utc": STAMP, "year": "2026",
+                 "month": "05", "day": "20", "table_name": "posts"}
+        kinds = {"string": "t", "bigint": 5, "double": 99.5, "boolean": True}
+        row = [given.get(f.name, kinds[f.dataType.simpleString()] if not f.name.endswith("_at_utc") else STAMP) for f in schema]
+        row = [DAY if f.name == "ingest_date" else v for f, v in zip(schema, row)]
+        warehouse.replace_date(spark, database, table, spark.createDataFrame([row], schema), DAY)
+    views.register_views(spark, database)
+    assert views.missing_views(spark.newSession(), database) == []
+    for name, build in views.VIEWS.items():
+        plan, view = build(lambda table: warehouse.read_table(spark, database, table)), spark.table(f"{database}.{name}")
+        assert view.columns == plan.columns and sorted(view.collect()) == sorted(plan.collect()) and view.count() > 0
 
 
 def test_views_over_empty_tables(spark, database):
