@@ -5,10 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,10 +21,11 @@ from feedmetrics.llm.base import staged, text_of
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
                {"type": "Lowercase"}]
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Words of these characters are their own NFC form, and their letters, lower-cased, are a-z and the third line's.
-PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
+# Texts of these characters are their own NFC form, and their letters, lower-cased, are a-z and the next line's.
+UNUSUAL = re.compile("[^\t-\r -~À-ÖØ-öø-įı-ſ]|<\\|")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|"
-                    "[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
+                    "[a-zß-öø-ſ]+|[0-9]|[^\\sa-z0-9ß-öø-ſ]+")
+END = "\x01"  # stands for the end of a piece: no text of those characters has it
 
 
 def byte_letters() -> dict[int, str]:
@@ -37,70 +36,63 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Token ids of whole texts, for word-level BPE: a text has the ids of its words, one after the other.
-
-    A word not seen before is cut as the tokenizer's settings say, and only
-    pieces not seen before are encoded by its model. Words with unusual
-    characters go through the whole tokenizer. About ``most`` words and pieces
-    are remembered.
+    """Token ids of whole texts, for word-level BPE.
+
+    Usual texts are lower-cased and cut into pieces here, with a mark behind
+    each piece, and their ids found by ranks: what the tokenizer calls a token
+    that ends a piece is then one that ends with the mark, the merge of a last
+    byte with its mark comes before all others, as the ids have it, and nothing
+    needs to be remembered, however rich the vocabulary. Other texts go through
+    the tokenizer itself, and so do all where the file's merges are not in the
+    order of its ids. Long texts are cut at spaces, where no token goes on.
     """
 
-    def __init__(self, tokenizer_file: str, dtype: str, most: int = 400_000):
+    def __init__(self, tokenizer_file: str, dtype: str, part: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer, self.dtype, self.part = Tokenizer.from_file(tokenizer_file), dtype, part
         settings = json.loads(self.tokenizer.to_str())
         steps = settings["pre_tokenizer"].get("pretokenizers", [])
         if (settings["normalizer"].get("normalizers") != NORMALIZERS or [s["type"] for s in steps] != [
                 "Split", "ByteLevel"] or steps[0]["pattern"] != {"Regex": SPLIT} or steps[1]["use_regex"]):
             raise ValueError("not a word-level BPE tokenizer")
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.code, self.most, self.known, self.pieces = {"<u2": "H", "<u4": "I"}[dtype], most, {}, {}
+        model = settings["model"]
+        vocabulary, suffix = model["vocab"], model["end_of_word_suffix"]
+        byte_of = {letter: byte for byte, letter in byte_letters().items()}
+        merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        single = [i for token, i in vocabulary.items() if len(token.removesuffix(suffix)) == 1]
+        self.ranked = None
+        if suffix and merged == sorted(merged) and max(single) < merged[0]:
+            ranks = {}
+            for token, number in vocabulary.items():
+                body = token.removesuffix(suffix)
+                if all(c in byte_of for c in body):
+                    ranks[bytes(byte_of[c] for c in body) + (END.encode() if body != token else b"")] = number
+            for byte in range(256):
+                ranks.setdefault(bytes([byte]), 1 << 20 | byte)  # needed, but never given out
+            self.ranked = tiktoken.Encoding("ranks", pat_str=rf"[^{END}\s]+{END}", mergeable_ranks=ranks,
+                                            special_tokens={})
 
     def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            text = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
-            found = self.pieces[piece] = self.packed([t.id for t in self.model.tokenize(text)])
-        return found
-
-    def _learn(self, words: set[bytes]) -> None:
-        unusual = []
-        for word in words:
-            if word.isalpha():  # ASCII letters: one piece
-                self.known[word] = self._piece(word.lower().decode())
-                continue
-            if word[-1] in b".," and word[:-1].isalpha():
-                self.known[word] = self._piece(word[:-1].lower().decode()) + self._piece(chr(word[-1]))
-                continue
-            text = word.decode("utf-8")
-            if PLAIN.fullmatch(text) and "<|" not in text:
-                self.known[word] = b"".join(map(self._piece, PIECES.findall(text.lower())))
-            else:
-                unusual.append(word)
-        for at in range(0, len(unusual), 10_000):
-            part = unusual[at:at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-            self.known.update((w, self.packed(e.ids)) for w, e in zip(part, encoded))
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _part(self, text: str) -> bytes:
+        if self.ranked and not UNUSUAL.search(text):
+            return self.packed(self.ranked.encode_ordinary(PIECES.sub(f"\\g<0>{END}", text.lower())))
+        text = text.encode("utf-8", "replace").decode("utf-8")
+        return self.packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        at = 0
-        while at < len(texts):
-            split, size = [], 0
-            while at < len(texts) and size < 1 << 20:
-                split.append(texts[at].encode("utf-8", "replace").split())
-                size += len(texts[at])
-                at += 1
-            for memory in (self.known, self.pieces):
-                if len(memory) > self.most:
-                    memory.clear()
-            self._learn(set(chain.from_iterable(split)) - self.known.keys())
-            for own in split:
-                yield b"".join(map(self.known.__getitem__, own))
+        for text in texts:
+            parts, at = [], 0
+            while at < len(text):
+                stop = text.find(" ", at + self.part) if at + self.part < len(text) else -1
+                stop = len(text) if stop < 0 else stop
+                parts.append(self._part(text[at:stop]))
+                at = stop
+            yield b"".join(parts)
 
 
 def tokenized(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: str, text_column: str,

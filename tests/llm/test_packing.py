@@ -13,7 +13,7 @@ from feedmetrics.llm import packing
 
 tokenizers = pytest.importorskip("tokenizers")
 FILE = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
-WHOLE, WORDS = tokenizers.Tokenizer.from_file(FILE), packing.WordEncoder(FILE, "<u4", most=5)
+WHOLE, WORDS = tokenizers.Tokenizer.from_file(FILE), packing.WordEncoder(FILE, "<u4", part=40)
 
 
 def whole(text):
