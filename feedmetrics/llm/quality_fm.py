@@ -130,17 +130,9 @@ class Machine:
         self.factors = numbers[SIZE + 1:].reshape(SIZE, -1).copy()
 
 
-def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 20_000, block_rows: int = 2_500,
-          factors: int = 8, rounds: int = 4, epochs: int = 3, rate: float = 0.1, decay: float = 1e-5) -> Machine:
-    """Fits a machine on labelled rows outside fold 0: at most ``most_rows``, those of the lowest id hash.
-
-    The rows are dealt into blocks of about ``block_rows``. In each round every
-    block trains a copy of the machine in a task of its own, and the copies are
-    averaged: ``most_rows / block_rows`` models of fixed size reach the driver.
-    Ids labelled several times count once, as the majority says. Labels without
-    a document, or null, are ignored; without labels the scores are all 0.5.
-    """
-    spark, machine = docs.sparkSession, Machine(factors)
+def training_rows(docs: DataFrame, labels: DataFrame, folds: int, most_rows: int) -> tuple[DataFrame, int]:
+    """(place, y, index, value) of labelled documents outside fold 0, and how many: ``most_rows`` at most."""
+    spark = docs.sparkSession
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out("doc_id", folds))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
@@ -154,9 +146,30 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 2
                                 "value": [v.tobytes() for _, v in found]})
 
     # At most ``most_rows`` ids and labels, so the texts are not shuffled for them.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "n_chars", "y", F.xxhash64("doc_id", "text").alias("place"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text", "n_chars"]).select(
+        "text", "n_chars", "y", F.xxhash64("doc_id", "text", "n_chars").alias("place"))
     rows = staged(spark, rows.mapInPandas(extract, "place long, y int, index binary, value binary"), "fm-rows")
     count = rows.count()
+    if count > most_rows:
+        last = rows.select("place").orderBy("place").limit(most_rows).agg(F.max("place")).first()[0]
+        rows, count = rows.filter(F.col("place") <= last), most_rows
+    return rows, count
+
+
+def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 20_000, block_rows: int = 2_500,
+          factors: int = 8, rounds: int = 4, epochs: int = 3, rate: float = 0.1, decay: float = 1e-5) -> Machine:
+    """Fits a machine on labelled rows outside fold 0: at most ``most_rows``, those of the lowest id hash.
+
+    The rows are dealt into blocks of about ``block_rows``. In each round every
+    block trains a copy of the machine in a task of its own, and the copies are
+    averaged: ``most_rows / block_rows`` models of fixed size reach the driver.
+    Ids labelled several times count once, as the majority says. Rows that agree
+    in id, text and ``n_chars`` are one; where an id has several texts, they are
+    rows of their own, and ``most_rows`` bounds the rows too. Labels without a
+    document, or null, are ignored; without labels the scores are all 0.5.
+    """
+    spark, machine = docs.sparkSession, Machine(factors)
+    rows, count = training_rows(docs, labels, folds, most_rows)
     if not count:
         return machine
     blocks = -(-count // block_rows)
@@ -177,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 2
             fit, "rows long, model binary").orderBy("rows", "model").collect()
         total = sum(r["rows"] for r in fitted)
         machine.load(sum(np.frombuffer(r["model"]) * (r["rows"] / total) for r in fitted))
-        shared.unpersist()
+        shared.destroy()
     return machine
 
 

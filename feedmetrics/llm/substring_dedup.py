@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from feedmetrics.llm.base import staged, text_of, words_of
 
@@ -206,6 +207,17 @@ def covering_windows(runs: DataFrame, window: int) -> DataFrame:
 RESULT = "n_words bigint, n_removed bigint, kept_text string"
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``id``: bigints in the order of ``doc_id``, null for null."""
+    if isinstance(rows.schema["doc_id"].dataType, IntegralType):
+        return rows.withColumn("id", F.col("doc_id").cast("bigint"))
+    # A sort deals the ids into ranges, and the numbers grow from range to range.
+    order = rows.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy("doc_id").select(
+        F.col("doc_id").alias("__id"), F.monotonically_increasing_id().alias("id"))
+    order = staged(rows.sparkSession, order, "repeats-ids")
+    return rows.join(order, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+
+
 def without_repeats(docs: DataFrame, window: int = 20, inner: int = 8, filter_bits: int = 27, heavy_runs: int = 10_000,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_text (the words left, joined by a space).
@@ -219,13 +231,14 @@ def without_repeats(docs: DataFrame, window: int = 20, inner: int = 8, filter_bi
     that does not grow with the data: where two minimisers share a slot a run
     travels in vain, and the result is the same.
 
-    A null text has no words. Null ids come last. Rows that repeat id and text
+    A null text has no words. Ids of any type that can be ordered will do: those
+    that are not whole numbers are numbered in their order. Null ids come last. Rows that repeat id and text
     count as one document and get equal results; rows of one id with different
     texts are ordered by the hash of the text. An empty table gives an empty
     result; other columns are ignored.
     """
-    texts = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text")).withColumn(
-        "id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))).withColumn("twin", F.xxhash64("text"))
+    texts = _numbered(docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text")))
+    texts = texts.withColumn("id", F.coalesce("id", F.lit(LAST_ID))).withColumn("twin", F.xxhash64("text"))
     runs = packed_runs(texts.select("text", "id", "twin"), window, inner, filter_bits, heavy_runs)
     covered = covering_windows(runs, window).groupBy("id", "twin").agg(
         F.collect_list(F.struct("start", "n")).alias("covered"))

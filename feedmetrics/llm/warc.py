@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 from feedmetrics.llm.base import staged, text_of
 
 VERSION = b"WARC/1.1\r\n"
+MARK = b"WARC/1."  # begins every record of the versions 1.x
 BETWEEN = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
 def chunked(payload: bytes, size: int) -> bytes:
-    """Chunked transfer framing. A chunk also ends inside ``WARC/1.1``, so no payload holds a record's first line."""
+    """Chunked transfer framing. A chunk also ends inside ``WARC/1.``, so no payload holds a record's begin."""
     out, at = [], 0
     while at < len(payload):
         end = min(at + size, len(payload))
-        inside = payload.find(VERSION[:-2], at, end + len(VERSION))
+        inside = payload.find(MARK, at, end + len(MARK))
         if 0 <= inside < end:
             end = inside + 5
         out.append(b"%x\r\n%b\r\n" % (end - at, payload[at:end]))
@@ -55,7 +56,7 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def _pieces(block: bytes, size: int) -> list[bytes]:
-    """Segments of at most ``size`` bytes; a cut inside ``WARC/1.1`` cannot form one, since chunks break it."""
+    """Segments of at most ``size`` bytes; a cut inside ``WARC/1.`` cannot form one, since chunks break it."""
     return [block[i:i + size] for i in range(0, len(block), size)] or [b""]
 
 
@@ -65,7 +66,8 @@ def records_of(page_id: str | None, row: int, url: str | None, html: str, digest
     own = f"<urn:page:{page_id or ''}:{row}>"
     fields = [("WARC-Date", DATE), ("WARC-Payload-Digest", f"sha256:{digest}")]
     if url:
-        fields.append(("WARC-Target-URI", "".join(c if c > " " else f"%{ord(c):02X}" for c in url)))
+        encoded = "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
+        fields.append(("WARC-Target-URI", encoded.replace(MARK.decode(), "WARC%2F1.")))
     if original is not None:
         yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *fields,
                        ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
@@ -126,43 +128,52 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 100, chunk_byt
     records.write.option("lineSep", BETWEEN).option("maxRecordsPerFile", records_per_file).text(path)
 
 
+RECORD = ("record_id string, type string, uri string, digest string, refers_to string, origin string, "
+          "segment bigint, total bigint, block binary")
+COLUMNS = [c.split()[0] for c in RECORD.split(", ")]
+
+
+def _number(text: str | None) -> int | None:
+    try:
+        return int(text) if text else None
+    except ValueError:
+        return None
+
+
 def _parsed(raw: bytes) -> dict | None:
-    head, _, rest = raw.partition(b"\r\n\r\n")
+    """A record's fields; of what is not a record, its type ``unread`` alone, and nothing of blank space."""
+    version, _, raw_head = raw.partition(b"\r\n")
+    head, _, rest = raw_head.partition(b"\r\n\r\n")
     fields = {}
     for line in head.split(b"\r\n"):
         name, _, value = line.partition(b":")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if "warc-type" not in fields:
-        return None
-    try:
-        length = int(fields.get("content-length", ""))
-    except ValueError:
-        length = -1
+    if "warc-type" not in fields or not version.isdigit():
+        return dict.fromkeys(COLUMNS) | {"type": "unread"} if raw.strip() else None
+    length = _number(fields.get("content-length"))
     number, total = fields.get("warc-segment-number"), fields.get("warc-segment-total-length")
+    sound = length is not None and 0 <= length <= len(rest) and (_number(number) is None) == (not number)
     return {"record_id": fields.get("warc-record-id"), "type": fields["warc-type"],
             "uri": fields.get("warc-target-uri"), "digest": fields.get("warc-payload-digest", "").rpartition(":")[2],
             "refers_to": fields.get("warc-refers-to"), "origin": fields.get("warc-segment-origin-id"),
-            "segment": int(number) if number else None, "total": int(total) if total else None,
-            "block": rest[:length] if 0 <= length <= len(rest) else None}
-
-
-RECORD = ("record_id string, type string, uri string, digest string, refers_to string, origin string, "
-          "segment bigint, total bigint, block binary")
+            "segment": _number(number), "total": _number(total), "block": rest[:length] if sound else None}
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives under ``path``, segments still apart.
 
-    The first line of a record is the separator Spark's text reader splits by,
-    so a large file is read by many tasks. A record cut short has a null block.
+    The begin of a record, of any version 1.x, is the separator Spark's text
+    reader splits by, so a large file is read by many tasks. A record cut short,
+    or with a number that is none, has a null block. Text that belongs to no
+    record, as what follows such a begin inside a payload of an archive not
+    written here, is a row of type ``unread``.
     """
-    lines = spark.read.option("lineSep", VERSION.decode()).text(path)
+    lines = spark.read.option("lineSep", MARK.decode()).text(path)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [c.split()[0] for c in RECORD.split(", ")]
         for batch in batches:
             found = [r for r in map(_parsed, batch["raw"]) if r]
-            out = pd.DataFrame(found, columns=columns)
+            out = pd.DataFrame(found, columns=COLUMNS)
             yield out.astype({"segment": "Int64", "total": "Int64"})
 
     return lines.select(F.col("value").cast("binary").alias("raw")).filter(F.length("raw") > 0).mapInPandas(
@@ -215,21 +226,25 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def pages_of(records: DataFrame) -> DataFrame:
     """Per page: page_id, payload_bytes, payload_digest, record_type, refers_to, from logical records.
 
-    Bytes and digest of a revisit are those of the response it refers to.
+    Bytes and digest of a revisit are those of the response it refers to. Damaged
+    records, and revisits whose response is gone, have neither. Page ids that
+    are not whole numbers are null.
     """
     def page(column: str):
         return F.regexp_extract(column, "^<urn:page:(-?[0-9]*)", 1).try_cast("bigint")
 
-    rows = records.filter("complete").select(
+    rows = records.select(
         page("record_id").alias("page_id"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to"),
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
-        F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).alias("payload_digest"), "digest")
+        F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).alias("payload_digest"), "digest", "complete")
     rows = staged(records.sparkSession, rows, "warc-pages")  # read three times below; the archive but once
-    responses = rows.filter("record_type = 'response'")
-    known = responses.groupBy(F.col("page_id").alias("__id"), F.col("payload_digest").alias("__digest")).agg(
+    revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))
+    responses = rows.filter(~revisit)
+    known = responses.filter("complete AND record_type = 'response'").groupBy(F.col("page_id").alias("__id"), F.col("payload_digest").alias("__digest")).agg(
         F.max("payload_bytes").alias("__bytes"))
-    revisits = rows.filter("record_type = 'revisit'").join(
-        known, (F.col("refers_to") == F.col("__id")) & (F.col("digest") == F.col("__digest")))
+    revisits = rows.filter(revisit).join(
+        known, F.col("complete") & (F.col("refers_to") == F.col("__id")) & (F.col("digest") == F.col("__digest")),
+        "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return responses.select(*columns).unionByName(revisits.select(
         "page_id", F.col("__bytes").alias("payload_bytes"), F.col("__digest").alias("payload_digest"), "record_type",

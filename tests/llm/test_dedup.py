@@ -144,3 +144,15 @@ def test_substring_removal(docs, texts, window, inner, heavy, bits):
     expected = plain_removal(every, window)
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in found) == sorted(
         (str(d[0]), len((d[1] or "").encode().split()), expected[d][1], expected[d][0]) for d in every)
+
+
+def test_repeats_of_text_ids(spark):
+    """The same documents under numbers and under texts in the same order."""
+    rows = [(n, " ".join(f"w{(n % 3) * 7 + i}" for i in range(40))) for n in range(12)] + [(None, "a b")]
+    by_number = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    texts = [(None if n is None else f"id-{n:03d}", t) for n, t in rows]
+    by_text = substring_dedup.without_repeats(spark.createDataFrame(texts, "doc_id string, text string"))
+    plain = lambda found: sorted((r.n_words, r.n_removed, r.kept_text, str(r.doc_id)[-2:].lstrip("-0") or "0")
+                                 for r in found.collect())
+    assert plain(by_number) == plain(by_text) and any(r[1] for r in plain(by_text))
+    assert dict(by_text.dtypes)["doc_id"] == "string"

@@ -168,3 +168,12 @@ def test_ppm_of_no_and_long_texts(docs, no_docs, spark):
     assert ppm.scored(docs).count() == docs.count()
     untrained = ppm.scored(spark.createDataFrame([(None, "ab"), (None, None)], "doc_id bigint, text string")).collect()
     assert sorted(r.score for r in untrained) == pytest.approx([3 * math.log10(1 / 256), math.log10(1 / 256)])
+
+
+def test_training_rows_are_bounded_where_an_id_repeats(spark):
+    """An id with many rows and many texts trains with no more rows than asked for, equal rows once."""
+    many = spark.range(3000).selectExpr("7L AS doc_id", "CAST(id % 500 AS STRING) AS text", "1 AS n_chars")
+    labels = spark.createDataFrame([(7, 1), (7, 0), (7, 1)], "doc_id bigint, quality int")
+    for most, expected in ((200, 200), (20_000, 500)):
+        rows, count = quality_fm.training_rows(many, labels, 5, most)
+        assert rows.count() == count == expected and {r.y for r in rows.collect()} == {1}

@@ -76,3 +76,31 @@ def test_damage_is_seen(spark, tmp_path):
     assert bytes(found["<urn:page:1:0>"].payload) == b"hello world" * 30
     assert [k for k, r in found.items() if r.complete] == ["<urn:page:1:0>"]
     assert len(found) == 7
+
+
+def test_other_versions_and_bad_numbers(spark, tmp_path):
+    def record(version, n, body, *more):
+        fields = [f"WARC-Type: response", f"WARC-Record-ID: <urn:page:{n}:0>", f"Content-Length: {len(body)}", *more]
+        return f"WARC/{version}\r\n".encode() + "\r\n".join(fields).encode() + b"\r\n\r\n" + body
+
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    (tmp_path / "old.warc").write_bytes(b"\r\n\r\n".join([record("1.0", n, body) for n in range(3)] + [
+        record("1.1", 3, body, "WARC-Segment-Number: one"), record("1.0", 4, b"HTTP/1.1 200 OK\r\n\r\nsee WARC/1.0 there"),
+        record("1.1", 5, body).replace(b"Content-Length: 24", b"Content-Length: many")]) + b"\r\n\r\n")
+    found = warc.read_archive(spark, str(tmp_path))
+    rows = {r.record_id: r for r in found.collect()}
+    assert [bytes(rows[f"<urn:page:{n}:0>"].payload) for n in range(3)] == [b"hello"] * 3
+    assert not any(rows[f"<urn:page:{n}:0>"].complete for n in (3, 4, 5))
+    assert [r.type for r in rows.values() if r.record_id is None] == ["unread"]
+    pages_found = {r.page_id: r.payload_bytes for r in warc.pages_of(found).collect()}
+    assert pages_found == {0: 5, 1: 5, 2: 5, 3: None, 4: None, 5: None, None: None}
+
+
+def test_marks_in_urls_and_lost_responses(spark, tmp_path):
+    path = scratch_dir(spark, "warc-urls")
+    warc.write_archive(pages(spark, [(1, "http://a/WARC/1.0", "WARC/1.0 " * 30), (2, "u", "WARC/1.0 " * 30)]), path)
+    records = warc.read_archive(spark, path)
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in warc.pages_of(records).collect()) == [
+        (1, 270, "response"), (2, 270, "revisit")]
+    lost = warc.pages_of(records.filter("type = 'revisit'")).collect()
+    assert [(r.page_id, r.payload_bytes, r.refers_to) for r in lost] == [(2, None, 1)]
