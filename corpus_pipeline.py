@@ -10,35 +10,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedmetrics.llm import exact_dedup, mixing, packing, quality_fm, simhash
-from feedmetrics.llm.base import staged
+from feedmetrics.llm.base import release, staged
 from feedmetrics.llm.queries import MIX_BLOCK, MIX_CAP, MIX_CYCLE, MIX_SEED, MIX_SHARD, tokenizer_file
 from feedmetrics.session import configure
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on labelled documents, does not reject."""
+    release(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality_fm.accepted(docs, quality_fm.train(docs, labels))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document for each text: that of the largest id."""
+    release(spark)
     return exact_dedup.distinct_documents(docs, keep="largest")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document for each group of near copies: that of the smallest id."""
+    release(spark)
     return simhash.one_of_each(docs, words_each=3, max_bits=3)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of sources takes them."""
+    release(spark)
     return mixing.mixed_documents(docs, mixing.cyclic_weights(docs, MIX_CYCLE), cap=MIX_CAP, block_words=MIX_BLOCK,
                                   shard_docs=MIX_SHARD, seed=MIX_SEED)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 4096 tokens."""
+    release(spark)
     return packing.pack(docs, tokenizer_file(), end_id=2)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +50,9 @@ def clear_staged(spark: SparkSession) -> None:
     while _STAGED:
         path = hadoop.Path(_STAGED.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets the driver give back what finished work left: plans that Python still held, their broadcasts, free heap."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

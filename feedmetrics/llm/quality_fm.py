@@ -123,11 +123,21 @@ class Machine:
                 self.factors[used] -= rate * by_factor / np.sqrt(seen_v[used])
 
     def packed(self) -> bytes:
-        return np.concatenate([[self.bias], self.weights, self.factors.ravel()]).tobytes()
+        return np.concatenate([[self.bias], self.weights, self.factors.ravel()]).astype(np.float32).tobytes()
 
-    def load(self, numbers: np.ndarray) -> None:
-        self.bias, self.weights = float(numbers[0]), numbers[1:SIZE + 1].copy()
-        self.factors = numbers[SIZE + 1:].reshape(SIZE, -1).copy()
+    def load(self, packed: bytes) -> None:
+        numbers = np.frombuffer(packed, np.float32).astype(np.float64)
+        self.bias, self.weights = float(numbers[0]), numbers[1:SIZE + 1]
+        self.factors = numbers[SIZE + 1:].reshape(SIZE, -1)
+
+
+def _averaged(models: pd.DataFrame) -> pd.DataFrame:
+    """One model out of those of a round's blocks, each weighing as its rows."""
+    models = models.sort_values(["rows", "model"])
+    total = models["rows"].sum()
+    mean = sum(np.frombuffer(m, np.float32).astype(np.float64) * (n / total)
+               for n, m in zip(models["rows"], models["model"]))
+    return pd.DataFrame({"rows": [total], "model": [mean.astype(np.float32).tobytes()]})
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int, most_rows: int) -> tuple[DataFrame, int]:
@@ -161,8 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 2
     """Fits a machine on labelled rows outside fold 0: at most ``most_rows``, those of the lowest id hash.
 
     The rows are dealt into blocks of about ``block_rows``. In each round every
-    block trains a copy of the machine in a task of its own, and the copies are
-    averaged: ``most_rows / block_rows`` models of fixed size reach the driver.
+    block trains a copy of the machine in a task of its own, and one more task
+    averages the copies, ``most_rows / block_rows`` of fixed size: the driver sees
+    one model of a megabyte.
     Ids labelled several times count once, as the majority says. Rows that agree
     in id, text and ``n_chars`` are one; where an id has several texts, they are
     rows of their own, and ``most_rows`` bounds the rows too. Labels without a
@@ -179,17 +190,18 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, most_rows: int = 2
 
         def fit(block: pd.DataFrame) -> pd.DataFrame:
             own = Machine(factors)
-            own.load(np.frombuffer(shared.value))
+            own.load(shared.value)
             block = block.sort_values(["place", "index"], kind="stable")
             data = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32))
                     for i, v in zip(block["index"], block["value"])]
             own.fit(data, block["y"].to_numpy(float), epochs, rate, decay, 64, turn)
             return pd.DataFrame({"rows": [len(block)], "model": [own.packed()]})
 
-        fitted = rows.groupBy(F.pmod("place", F.lit(blocks)).alias("block")).applyInPandas(
-            fit, "rows long, model binary").orderBy("rows", "model").collect()
-        total = sum(r["rows"] for r in fitted)
-        machine.load(sum(np.frombuffer(r["model"]) * (r["rows"] / total) for r in fitted))
+        fitted = rows.groupBy(F.pmod("place", F.lit(blocks)).alias("block")).applyInPandas(fit, "rows long, model binary")
+        # ``most_rows / block_rows`` models at most meet in one task; the driver sees the one they become.
+        together = fitted.withColumn("together", F.lit(0)).groupBy("together")
+        merged = together.applyInPandas(_averaged, "rows long, model binary").first()
+        machine.load(bytes(merged["model"]))
         shared.destroy()
     return machine
 
@@ -207,7 +219,7 @@ def scored(docs: DataFrame, machine: Machine, threshold: float = 0.3, folds: int
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         extractor, own = Extractor(), Machine(width)
-        own.load(np.frombuffer(model.value))
+        own.load(model.value)
         for texts, chars in batches:
             out, at = [], 0
             while at < len(texts):
