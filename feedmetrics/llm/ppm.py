@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,24 +38,39 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class BlockCounts:
-    """Counts of a block's byte strings and words; those of texts held out are there with none."""
+    """Counts of a block's byte strings and words; those of texts held out are there with none.
+
+    Words are numbered as they come, the end being number 0, so that the block's
+    texts need to be cut into words only once.
+    """
 
     def __init__(self, order: int):
-        self.order, self.words, self.parts, self.waiting = order, Counter(), [], 0
+        self.order, self.parts, self.waiting = order, [], 0
+        self.words, self.seen = {END: 0}, np.zeros(1, dtype=np.int64)
 
-    def add(self, texts: list[bytes], held: list[bool]) -> None:
+    def add(self, texts: list[bytes], held: list[bool]) -> tuple[list[int], bytes]:
+        """Counts texts; how many tokens each has, and the numbers of them all."""
         for part in (False, True):
             chosen = [t for t, h in zip(texts, held) if h == part]
             if not chosen:
                 continue
-            words = b"".join(chosen).split()
-            self.words.update(dict.fromkeys(words, 0) if part else words)
-            self.words[END] += 0 if part else len(chosen)
             values, n = np.unique(grams_of(chosen, self.order)[0], return_counts=True)
             self.parts.append((values, np.zeros_like(n) if part else n))
             self.waiting += len(values)
         if self.waiting > 2_000_000:
             self._merge()
+        split = [t.split() for t in texts]
+        for own in split:
+            own.append(END)
+        for word in set(chain.from_iterable(split)).difference(self.words):
+            self.words[word] = len(self.words)
+        lengths = list(map(len, split))
+        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int32, sum(lengths))
+        trained = numbers[np.repeat(~np.array(held, dtype=bool), lengths)]
+        seen = np.bincount(trained, minlength=len(self.words))
+        seen[:len(self.seen)] += self.seen
+        self.seen = seen
+        return lengths, numbers.tobytes()
 
     def _merge(self) -> None:
         values, place = np.unique(np.concatenate([v for v, _ in self.parts]), return_inverse=True)
@@ -63,16 +78,39 @@ class BlockCounts:
         self.parts, self.waiting = [(values, counts)], 0
 
     def rows(self, block: int) -> Iterator[pd.DataFrame]:
-        if self.parts:
-            self._merge()
-            yield _rows(block=block, gram=self.parts[0][0], n=self.parts[0][1])
+        if not self.parts:
+            return
+        self._merge()
+        yield _rows(block=block, gram=self.parts[0][0], n=self.parts[0][1])
         words = list(self.words)
         for at in range(0, len(words), 100_000):
             own = words[at:at + 100_000]
-            yield _rows(block=block, word=own, n=[self.words[w] for w in own])
+            yield _rows(block=block, word=own, number=np.arange(at, at + len(own)), n=self.seen[at:at + len(own)])
+
+
+class Places:
+    """Finds numbers in a rising array, nearly all by one look into a table of hashes."""
+
+    def __init__(self, known: np.ndarray):
+        bits = min(23, max(10, (4 * len(known)).bit_length()))
+        self.known, self.shift = known, np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits, dtype=np.int32)
+        self.table[self._slots(known)] = np.arange(len(known), dtype=np.int32)
+
+    def _slots(self, numbers: np.ndarray) -> np.ndarray:
+        return (numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def __call__(self, numbers: np.ndarray) -> np.ndarray:
+        at = self.table[self._slots(numbers)]
+        others = np.flatnonzero(self.known[at] != numbers)
+        at[others] = np.minimum(np.searchsorted(self.known, numbers[others]), len(self.known) - 1)
+        if not np.array_equal(self.known[at[others]], numbers[others]):
+            raise ValueError("a byte string of the block has no probability")
+        return at
 
 
-ROWS = "block bigint, ids array<string>, held array<boolean>, texts binary, gram bigint, word binary, n bigint"
+ROWS = ("block bigint, ids array<string>, held array<boolean>, tokens array<bigint>, texts binary, numbers binary, "
+        "gram bigint, word binary, number bigint, n bigint")
 COLUMNS = [c.split()[0] for c in ROWS.split(", ")]
 
 
@@ -93,9 +131,10 @@ def _blocks(order: int, block_bytes: int):
                 while stop < len(texts) and length < PACK_BYTES:
                     length += len(texts[stop])
                     stop += 1
-                counts.add(texts[at:stop], held[at:stop])
+                tokens, numbers = counts.add(texts[at:stop], held[at:stop])
                 packed = zstandard.compress(b"".join(texts[at:stop]))
-                yield _rows(block=block, ids=[ids[at:stop]], held=[held[at:stop]], texts=[packed], n=0)
+                yield _rows(block=block, ids=[ids[at:stop]], held=[held[at:stop]], tokens=[tokens], texts=[packed],
+                            numbers=[zstandard.compress(numbers)], n=0)
                 size, at = size + length, stop
                 if size >= block_bytes:
                     yield from counts.rows(block)
@@ -162,36 +201,24 @@ def _block_scores(order: int, total: int, kinds: int):
     floor = np.log10(total + 0.1 * (kinds + 1))
 
     def score(packs: pd.DataFrame, lookup: pd.DataFrame) -> pd.DataFrame:
-        def unpacked() -> Iterator[tuple[list, list, list[bytes]]]:
-            for ids, held, texts in zip(packs["ids"], packs["held"], packs["texts"]):
-                yield list(ids), list(held), zstandard.decompress(texts).splitlines(keepends=True)
-
-        words: Counter[bytes] = Counter()
-        for _, held, texts in unpacked():
-            for text, out in zip(texts, held):
-                own = text.split()
-                words.update(dict.fromkeys(own, 0) if out else own)
-                words[END] += not out
-        shared = lookup[lookup["word"].notna()]
-        words.update({w: int(n) - words[w] for w, n in zip(shared["word"], shared["n"])})
-        values = dict(zip(words, np.log10(np.fromiter(words.values(), float, len(words)) + 0.1).tolist()))
-        known = lookup[lookup["word"].isna()]
+        known = lookup[lookup["number"].isna()]
         grams, logs = known["gram"].to_numpy(dtype=np.int64), known["logp"].to_numpy(dtype=float)
         sort = np.argsort(grams)
-        grams, logs = grams[sort], logs[sort]
-        rows = []
-        for ids, held, texts in unpacked():
-            codes, starts = grams_of(texts, order)
-            at = np.searchsorted(grams, codes)
-            if not np.array_equal(grams[at], codes):
-                raise ValueError("a byte string of the block has no probability")
-            scores = np.add.reduceat(logs[at], starts).tolist()
-            for doc_id, out, text, one in zip(ids, held, texts, scores):
-                own = text.split()
-                each = np.fromiter(map(values.__getitem__, own), float, len(own))
-                each = np.append(each, values[END])
-                rows.append((doc_id, out, len(each), int((each > 0).sum()), total, float((each - floor).sum()), one))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in SCORES.split(", ")])
+        logs, places = logs[sort], Places(grams[sort])
+        words = lookup[lookup["number"].notna()]
+        counts = np.zeros(len(words), dtype=np.int64)
+        counts[words["number"].to_numpy(dtype=np.int64)] = words["n"].to_numpy(dtype=np.int64)
+        values, seen = np.log10(counts + 0.1) - floor, (counts > 0).astype(np.int64)
+        parts = []
+        for ids, held, tokens, texts, numbers in zip(*(packs[c] for c in ("ids", "held", "tokens", "texts", "numbers"))):
+            codes, starts = grams_of(zstandard.decompress(texts).splitlines(keepends=True), order)
+            own = np.frombuffer(zstandard.decompress(numbers), np.int32)
+            begins = np.cumsum(tokens) - tokens
+            parts.append(pd.DataFrame({
+                "doc_id": ids, "held_out": held, "n_tokens": tokens, "n_known": np.add.reduceat(seen[own], begins),
+                "train_tokens": total, "base_score": np.add.reduceat(values[own], begins),
+                "score": np.add.reduceat(logs[places(codes)], starts)}))
+        return pd.concat(parts) if parts else pd.DataFrame(columns=[c.split()[0] for c in SCORES.split(", ")])
 
     return score
 
@@ -206,10 +233,10 @@ def scored(docs: DataFrame, order: int = 4, folds: int = 10, id_column: str = "d
     its words and end as independent draws.
 
     One pass over the texts deals them into blocks of about ``block_bytes``. A
-    block keeps its texts, packed, and reports each byte string and word once,
-    with its count. The corpus sums the counts, works out the probabilities by
-    windows and joins, and returns to each block the strings it has, and those
-    words that other blocks have too. So what is shuffled is bounded by the text
+    block keeps its texts and the numbers of their words, packed, and reports
+    each byte string and word once, with its count. The corpus sums the counts,
+    works out the probabilities by windows and joins, and returns to each block
+    those of its strings and words. So what is shuffled is bounded by the text
     and shrinks with repetition, and nothing that grows with the corpus is
     broadcast or collected.
 
@@ -227,20 +254,20 @@ def scored(docs: DataFrame, order: int = 4, folds: int = 10, id_column: str = "d
     priced = strings.select("block", "gram").join(log_probabilities(grams, order), "gram")
 
     own, first = Window.partitionBy("word"), F.row_number().over(Window.partitionBy("word").orderBy("block"))
-    words = rows.filter("word IS NOT NULL").select("block", "word", "n", F.sum("n").over(own).alias("all"),
+    words = rows.filter("word IS NOT NULL").select("block", "number", "n", F.sum("n").over(own).alias("all"),
                                                    first.alias("nth"))
     seen: Observation = Observation()
     tokens: Column = F.coalesce(F.sum("n"), F.lit(0))
     words = words.observe(seen, tokens.alias("tokens"),
                           F.count_if((F.col("nth") == 1) & (F.col("all") > 0)).alias("kinds"))
-    shared = staged(spark, words.filter(F.col("all") != F.col("n")).select("block", "word", F.col("all").alias("n")),
-                    "ppm-words")
+    counted = staged(spark, words.select("block", "number", F.col("all").alias("n")), "ppm-words")
     total, kinds = seen.get["tokens"], seen.get["kinds"]
 
-    lookup = priced.select("block", "gram", "logp", F.lit(None).cast("binary").alias("word"),
-                           F.lit(0).cast("bigint").alias("n")).unionByName(
-        shared.select("block", F.lit(0).cast("bigint").alias("gram"), F.lit(0.0).alias("logp"), "word", "n"))
-    packs = rows.filter("texts IS NOT NULL").select(F.col("block").alias("own_block"), "ids", "held", "texts")
+    nothing = F.lit(None).cast("bigint")
+    lookup = priced.select("block", "gram", "logp", nothing.alias("number"), nothing.alias("n")).unionByName(
+        counted.select("block", nothing.alias("gram"), F.lit(None).cast("double").alias("logp"), "number", "n"))
+    packs = rows.filter("texts IS NOT NULL").select(F.col("block").alias("own_block"), "ids", "held", "tokens", "texts",
+                                                    "numbers")
     found = packs.groupBy("own_block").cogroup(lookup.groupBy("block")).applyInPandas(
         _block_scores(order, total, kinds), SCORES)
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
