@@ -12,8 +12,9 @@ from feedmetrics.functions.text import strip
 # Years 0001-9999, the span of ISO text.
 _MIN_EPOCH, _MAX_EPOCH = -62135596800, 253402300799
 
-# Calendar or week date, with hyphens or without; any one character; a time with
+# The usual form, which Spark's own cast takes; then any: calendar or week date, with hyphens or without; any one character; a time with
 # colons or without, down to its hours; an offset.
+_COMMON = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}([.]\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
 _CALENDAR = r"^(\d{4})(-?)(\d{2})\2(\d{2}).(?=\d)"
 _WEEK = r"^(\d{4})(-?)W(\d{2})(?:\2(\d))?.(?=\d)"
 _CLOCK = (r"^(\d{2})(?:(:?)(\d{2})(?:\2(\d{2})(?:[.,](\d+))?)?)?"
@@ -48,8 +49,8 @@ def _week_day(year: Column, week: Column, day: Column) -> Column:
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text -> timestamp; null when malformed or without an offset.
 
-    The patterns take the text apart, and the parts are put into the one form
-    that Spark's parser takes. Without an offset Spark would read the text in
+    The usual form is one match and a cast. For the others patterns take the text
+    apart, and the parts are put into the form that Spark's parser takes. Without an offset Spark would read the text in
     the session zone. Offsets beyond 18 hours stay null.
     """
     value = strip(text)
@@ -67,7 +68,8 @@ def iso_timestamp(text: Column) -> Column:
     clock = F.concat(part(_CLOCK, 1, rest), F.lit(":"), F.coalesce(part(_CLOCK, 3, rest), zero), F.lit(":"),
                      F.coalesce(part(_CLOCK, 4, rest), zero), F.lit("."), F.coalesce(part(_CLOCK, 5, rest), zero),
                      part(_CLOCK, 6, rest))
-    return F.when(rest.rlike(_CLOCK), F.try_to_timestamp(F.concat(date, F.lit(" "), clock)))
+    any_form = F.when(rest.rlike(_CLOCK), F.try_to_timestamp(F.concat(date, F.lit(" "), clock)))
+    return F.when(value.rlike(_COMMON), value.try_cast("timestamp")).otherwise(any_form)
 
 
 def iso_text(text: Column) -> Column:
@@ -105,11 +107,11 @@ def hour_windows(day: Column) -> Column:
 
 def parse_day(value: str, name: str = "data_date") -> dt.date:
     if not isinstance(value, str) or not re.fullmatch(r"\d{4}-\d{2}-\d{2}", value.strip()):
-        raise ValueError(f"{name} must be in YYYY-MM-DD format, got {value!r}")
+        raise ValueError(f"{name} is not a day like 2026-05-20: {value!r}")
     try:
         return dt.date.fromisoformat(value.strip())
     except ValueError as error:
-        raise ValueError(f"{name} must be in YYYY-MM-DD format, got {value!r}") from error
+        raise ValueError(f"{name} is not a day like 2026-05-20: {value!r}") from error
 
 
 def utc_now() -> dt.datetime:

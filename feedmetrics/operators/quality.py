@@ -78,7 +78,7 @@ def column_contract(df: DataFrame, schema: T.StructType) -> tuple[list[str], lis
 def check_columns(name: str, df: DataFrame, schema: T.StructType) -> None:
     missing, extra = column_contract(df, schema)
     if missing or extra:
-        raise ValueError(f"{name} does not match its columns. Missing: {missing}. Extra: {extra}.")
+        raise ValueError(f"{name} has other columns than its layout: without {missing}, with {extra}")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

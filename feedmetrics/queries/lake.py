@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedmetrics.functions import casts
 from feedmetrics.functions.times import utc_text
-from feedmetrics.operators.days import on_day
 from feedmetrics.operators.quality import column_contract, conform, quality_report
+from feedmetrics.operators.ranking import presentation_order
 from feedmetrics.plans import alerts, gold, jobs, views
 from feedmetrics.queries import feeds, sql
 from feedmetrics.queries.feeds import DAY, INGEST, RUN, STAMP, table
@@ -280,6 +280,24 @@ def gold_day_scan(spark, sf):
     return lake.read_gold(spark, root, X, "top_users_by_followers", "1998-07-01")[0]
 
 
+@query("gold_row_order", f"""
+SELECT date, rank, source_post_id, row_number() OVER (ORDER BY date, rank) AS position
+FROM ({sql.top_posts_by_score('story')})""")
+def gold_row_order(spark, sf):
+    """The place of every row in the order of presentation, as it was written."""
+    path = scratch_dir(spark, "order")
+    shown = presentation_order(gold.top_posts_by_score(feeds.hn_posts(spark, sf), "story", STAMP))
+    # Grows from partition to partition, and by one within each.
+    shown.select("date", "rank", "source_post_id", F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    rows = spark.read.schema("date string, rank bigint, source_post_id string, at bigint").parquet(path).withColumn(
+        "part", F.shiftright("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first")).select(
+        "part", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    return rows.join(offsets, "part").select("date", "rank", "source_post_id",
+                                             (F.col("at") + F.col("shift")).alias("position"))
+
+
 # --- warehouse ---------------------------------------------------------------------
 
 def _new_warehouse(spark) -> str:

@@ -201,7 +201,7 @@ def test_scans_prune_partitions(spark, tmp_path):
     assert lake.read_silver(spark, root, "posts", X).count() == 0
     narrow = plan_of(day.select("score")).split("ReadSchema: ")[1]
     assert narrow.startswith("struct<score:bigint>")
-    with pytest.raises(ValueError, match="YYYY-MM-DD"):
+    with pytest.raises(ValueError, match="not a day like"):
         lake.read_silver(spark, root, "posts", HN, "2026-5-20")
 
 
@@ -248,7 +248,7 @@ def test_missing_column_loads_as_null_and_contract_reports_it(spark, database):
     rows = users_metric(spark, DAY, 4).drop("active_users").withColumn("extra", F.lit(1))
     warehouse.replace_date(spark, database, "hn_daily_users_metric", rows, DAY)
     assert warehouse.read_table(spark, database, "hn_daily_users_metric").first().active_users is None
-    with pytest.raises(ValueError, match=r"Missing: \['active_users'\]. Extra: \['extra'\]"):
+    with pytest.raises(ValueError, match=r"without \['active_users'\], with \['extra'\]"):
         check_columns("t", rows, GOLD[HN]["daily_users_metric"])
     with pytest.raises(ValueError, match="no warehouse table"):
         warehouse.table_schema("nope")
