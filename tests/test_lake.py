@@ -391,3 +391,16 @@ def test_option_checks():
 def test_shared_folder_comes_from_the_session(spark):
     assert "shared" in shared_dir(spark)
     assert scratch_dir(spark, "a").startswith(shared_dir(spark)) and scratch_dir(spark, "a") != scratch_dir(spark, "a")
+
+
+def test_rows_dealt_by_partition_are_written_as_they_come(spark, tmp_path):
+    """They used to be shuffled again, and the settings of a write came back after it."""
+    from feedmetrics.queries import feeds
+    rows = feeds.x_tags(spark, "/root/testdata/sf0.001", feeds.month_text, dealt=True)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    counts = lake.write_silver(spark, {"post_tags": rows}, str(tmp_path), dealt=["post_tags"])["post_tags"]
+    plain = feeds.x_tags(spark, "/root/testdata/sf0.001", feeds.month_text)
+    written = lake.read_silver(spark, str(tmp_path), "post_tags", "X").select(plain.columns)
+    assert written.exceptAll(plain).isEmpty() and plain.exceptAll(written).isEmpty()
+    assert counts["row_count"] == plain.count() and counts["partitions_written"] == plain.select("data_date").distinct().count()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
