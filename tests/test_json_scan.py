@@ -119,3 +119,22 @@ def test_large_file_is_read_by_many_tasks(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert (row.n, row.s) == (100_000, sum(range(100_000))) and row.blocks > 8
+
+
+def test_small_elements_share_a_run():
+    """A piece is cut into runs of some KiB, not one per element, and no byte is lost or doubled."""
+    text = json.dumps([{"id": k, "text": '\\"}{' * (k % 3)} for k in range(2000)]).encode() + b"}"
+    runs = list(json_scan._runs_of(text, "[", 0, 0, True))
+    assert b"".join(run[1] for run in runs) == text[:-1]
+    assert len(runs) < 30 and max(len(run[1]) for run in runs) <= 1 << 13
+
+
+def test_documents_are_written_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from feedmetrics.queries.lake import _write_documents
+
+    items = spark.range(0, 100, numPartitions=5).select(F.lit("a").alias("key"), F.struct("id").alias("item"))
+    _write_documents(spark, items, {key: (str(tmp_path / f"{key}.json"), '{"x": [', "]}") for key in "ab"})
+    assert json.loads((tmp_path / "a.json").read_text()) == {"x": [{"id": n} for n in range(100)]}
+    assert json.loads((tmp_path / "b.json").read_text()) == {"x": []}
