@@ -11,7 +11,7 @@ from feedmetrics.functions import casts, classify
 from feedmetrics.functions.times import day_epoch_range, parse_day
 from feedmetrics.schemas import HN_ITEM_TYPES
 from feedmetrics.sources import files, json_arrays, json_scan
-from feedmetrics.sources.lake import observed
+from feedmetrics.sources.lake import SIDE_BY_SIDE, observed, set_for
 
 # A landed HN item: its place in the collection and the item itself.
 HN_LINES = "window_start bigint, page bigint, pos bigint, item variant"
@@ -43,11 +43,14 @@ def write_hn_items(items: DataFrame, root: str, ingest_date: str, data_date: str
 
     A type without items has no folder; the scan takes that as empty.
     """
-    (items.where(F.col("item_type").isin(*HN_ITEM_TYPES))
-     .select("item_type", "window_start", "page", "pos", "item")
-     .hint("rebalance", "item_type")
-     .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("item_type").json(f"{hn_folder(root, ingest_date, data_date)}/lines"))
+    lines = (items.where(F.col("item_type").isin(*HN_ITEM_TYPES))
+             .select("item_type", "window_start", "page", "pos", "item")
+             .hint("rebalance", "item_type"))
+    # A file for each type at once; at that many open files as the setting says, Spark sorts the rest of the rows by type.
+    # A part of the advisory size is many times that in memory, were it sorted.
+    with set_for(items.sparkSession, {SIDE_BY_SIDE: str(len(HN_ITEM_TYPES) + 1)}):
+        (lines.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("item_type").json(f"{hn_folder(root, ingest_date, data_date)}/lines"))
 
 
 def manifest(items: DataFrame, root: str, ingest_date: str, data_date: str) -> DataFrame:

@@ -404,3 +404,19 @@ def test_rows_dealt_by_partition_are_written_as_they_come(spark, tmp_path):
     assert written.exceptAll(plain).isEmpty() and plain.exceptAll(written).isEmpty()
     assert counts["row_count"] == plain.count() and counts["partitions_written"] == plain.select("data_date").distinct().count()
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_hn_lines_of_all_types_are_written_unsorted(spark, tmp_path, monkeypatch):
+    """A task holds no rows in memory to sort them by type: it has a file open for each."""
+    from pyspark.sql import DataFrameWriter
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.json
+    monkeypatch.setattr(DataFrameWriter, "json", lambda self, *a, **k: (seen.append(int(spark.conf.get(name))), write(self, *a, **k)))
+    before = spark.conf.get(name)
+    rows = spark.range(50).select(F.element_at(F.array(*map(F.lit, HN_ITEM_TYPES)), (F.col("id") % 5 + 1).cast("int")).alias("item_type"),
+                                  F.lit(0).cast("bigint").alias("window_start"), F.lit(0).cast("bigint").alias("page"), F.col("id").alias("pos"),
+                                  F.to_variant_object(F.struct("id")).alias("item"))
+    bronze.write_hn_items(rows, str(tmp_path), "2026-05-21", "2026-05-20")
+    assert seen == [len(HN_ITEM_TYPES) + 1] and spark.conf.get(name) == before
+    read = bronze.read_hn(spark, str(tmp_path), "2026-05-21", "2026-05-20")
+    assert read.groupBy("item_type").count().collect() and read.count() == 50
