@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmetrics.functions.text import strip
@@ -96,6 +98,22 @@ def truthy_text(value: Column, path: str = "$") -> Column:
             .when(~F.coalesce(nothing, F.lit(False)), F.regexp_replace(text, "^true$", "True")))
 
 
+def _seldom(value: Column, read: Callable[[Column], Column]) -> Column:
+    """``read`` of a value as a lambda: rare cases stay out of the code that all rows run through."""
+    return F.get(F.transform(F.array(value), read), 0)
+
+
+def truthy_of_text(text: Column, value: Column, path: str) -> Column:
+    """truthy_text of a field that was read as ``text``; the value is looked at only where its kind tells."""
+    unclear = text.isin("true", "false", "[]", "{}") | text.startswith("0") | text.startswith("-0")
+    return F.when(unclear, _seldom(value, lambda whole: truthy_text(whole, path))).otherwise(F.nullif(text, F.lit("")))
+
+
+def text_of_text(text: Column, value: Column, path: str) -> Column:
+    """text_of a field that was read as ``text``: only true and false may be spelled in another way."""
+    return F.when(text.isin("true", "false"), _seldom(value, lambda whole: text_of(whole, path))).otherwise(text)
+
+
 def int_of(value: Column, path: str = "$") -> Column:
     """Number (truncated), whole-number text or boolean -> bigint, else null."""
     return (F.when(kind(value, path) == "STRING", int_from_text(_string(value, path)))

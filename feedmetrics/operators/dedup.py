@@ -19,6 +19,18 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
             .where(F.col("_position") == 1).drop("_position"))
 
 
+def keep_first_marked(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column],
+                      again: str) -> DataFrame:
+    """As keep_first, with a boolean column that says whether more rows of the key follow.
+
+    A map task sends at most two rows per key for that.
+    """
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("_position", F.row_number().over(first)).where(F.col("_position") <= 2)
+            .withColumn(again, F.lead("_position").over(first).isNotNull())
+            .where(F.col("_position") == 1).drop("_position"))
+
+
 def keep_first_identified(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """As keep_first, but rows with a null key are all kept.
 

@@ -166,3 +166,52 @@ def test_unescape_is_evaluated_once(items):
     plan = silver_x.post_tags(x_flat(items, [{"id": 1}]), *RUN)._jdf.queryExecution().optimizedPlan().toString()
     # the two texts of an entry, and the body of a marked one
     assert plan.count("_html_unescape(") == 3
+
+
+def test_hn_tables_of_first_deliveries(items, tmp_path):
+    """Posts that come once are not compared with others; all rows are as if every item were."""
+    values = [
+        {"objectID": 1, "_tags": ["Story", "story", " story", "STORY", "Author_a", "author_a", None, " ", 7], "parent_id": 9, "story_id": "9"},
+        {"objectID": "2", "_tags": ["a", "A"], "parent_id": True, "created_at_i": 1779264000},
+        {"objectID": 2, "_tags": ["b", "a"], "parent_id": 4, "story_id": "x"},
+        {"objectID": 3, "_tags": [f"t{i % 90}" for i in range(200)], "story_id": 0}, {"objectID": 4, "_tags": "story"},
+        {"objectID": 5}, {"_tags": ["story"], "parent_id": 1}, {"objectID": 2, "_tags": ["c"]}]
+    flat = silver_hn.flatten(items(values)).localCheckpoint()
+    for rows in (flat, flat.where(F.col("source_post_id").isin("1", "4", "5"))):
+        tables = silver_hn.silver_tables(rows, silver_hn.first_deliveries(rows), *RUN)
+        plain = {"posts": silver_hn.posts, "post_tags": silver_hn.post_tags, "post_relations": silver_hn.post_relations}
+        for name, of in plain.items():
+            expected = of(rows, *RUN).collect()
+            assert expected and by(tables[name].collect(), *SILVER[name].names) == by(expected, *SILVER[name].names)
+    # The second time no post came again: nothing is sorted to compare tags.
+    assert "row_number" not in tables["post_tags"].drop("post_id")._jdf.queryExecution().optimizedPlan().toString().split(
+        "Rebalance")[0]
+
+
+def test_hn_fields_read_as_text_keep_their_kind(spark, items):
+    from feedmetrics.functions import casts
+
+    values = [{"objectID": value, "title": value} for value in (
+        0, "0", -0.0, 0.0, "0.0", "-0", False, "false", True, "true", None, "", [], "[]", {}, "{}", {"a": 1}, [0], 7, 0.5,
+        "007", -0.25, 1e300, "x", 10**30)]
+    rows = items(values)
+    plain = rows.select(F.nullif(casts.truthy_text(F.col("item"), "$.objectID"), F.lit("")).alias("id"),
+                        casts.text_of(F.col("item"), "$.title").alias("title"))
+    flat = silver_hn.flatten(rows).select(F.col("source_post_id").alias("id"), F.col("title_html").alias("title"))
+    assert by(flat.collect(), "id", "title") == by(plain.collect(), "id", "title")
+
+
+def test_usual_references_stay_out_of_python(spark):
+    import html
+
+    from feedmetrics.functions.text import clean_html, strip, unescape
+
+    usual = ["a &amp; b", "&lt;p&gt;", "&amp;lt;", "&&amp;amp;", "I&#x27;m &quot;x&quot;&nbsp;", "&amp;amp;#39;", "", None]
+    strange = ["&am&lt;p;", "&amp", "&lt", "&notit;", "&#39", "&#X27;", "&copy;", "a & b", "&a&quot;mp;", "&&lt;t;"]
+    rows = spark.createDataFrame([(text,) for text in usual + strange], "text string")
+    for text, plain in rows.select("text", unescape(F.col("text"))).collect():
+        assert plain == (None if text is None else html.unescape(text)), text
+    spaces = spark.createDataFrame([(f"{a}x{b}y{a}",) for a in ("", " ", " ", "\t　", "\x1f") for b in ("", " \n", " ")],
+                                   "text string")
+    for text, stripped, cleaned in spaces.select("text", strip(F.col("text")), clean_html(F.col("text"))).collect():
+        assert stripped == text.strip() and cleaned == " ".join(text.split()), repr(text)
