@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -23,9 +24,29 @@ NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Texts of these characters are their own NFC form, and their letters, lower-cased, are a-z and the next line's.
 UNUSUAL = re.compile("[^\t-\r -~À-ÖØ-öø-įı-ſ]|<\\|")
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|"
-                    "[a-zß-öø-ſ]+|[0-9]|[^\\sa-z0-9ß-öø-ſ]+")
-END = "\x01"  # stands for the end of a piece: no text of those characters has it
+# In UTF-8, all their bytes from 128 on are of letters.
+SPACE, LETTER, DIGIT, OTHER = range(4)
+KINDS = bytes(SPACE if b in b"\t\n\v\f\r " else DIGIT if b in b"0123456789" else
+              LETTER if b >= 128 or chr(b).isalpha() else OTHER for b in range(256))
+SHORT = re.compile(rb"'(?<![!-&(-/:-@\[-`{-~']')(?:[stmd]|re|ve|ll)")  # a quote within a run of others starts none
+END = 1  # stands for the end of a piece: no text of those characters has it
+
+
+def marked(text: str) -> str:
+    """The pieces of a lower-case text of those characters, each with ``END`` behind it, and not the spaces.
+
+    Two neighbours are cut apart where their kinds differ, and so are digits.
+    """
+    raw = text.encode() + b" "
+    kinds = np.frombuffer(raw.translate(KINDS), np.uint8)
+    cuts = np.concatenate(([False], (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)))
+    short = np.array([m.span() for m in SHORT.finditer(raw)], dtype=np.int64).reshape(-1, 2)
+    cuts[short[:, 0] + 1] = False
+    cuts[short[:, 1]] = True
+    cuts = np.flatnonzero(cuts & (kinds != SPACE))
+    cuts = cuts[kinds[cuts - 1] != SPACE]  # a space is itself an end
+    letters = np.where(kinds == SPACE, np.uint8(END), np.frombuffer(raw, np.uint8))
+    return np.insert(letters, cuts, END).tobytes().decode()
 
 
 def byte_letters() -> dict[int, str]:
@@ -38,13 +59,14 @@ def byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Token ids of whole texts, for word-level BPE.
 
-    Usual texts are lower-cased and cut into pieces here, with a mark behind
-    each piece, and their ids found by ranks: what the tokenizer calls a token
-    that ends a piece is then one that ends with the mark, the merge of a last
-    byte with its mark comes before all others, as the ids have it, and nothing
-    needs to be remembered, however rich the vocabulary. Other texts go through
-    the tokenizer itself, and so do all where the file's merges are not in the
-    order of its ids. Long texts are cut at spaces, where no token goes on.
+    Usual texts are lower-cased and cut into pieces here by the kinds of their
+    bytes, all at once, with a mark behind each piece, and their ids found by
+    ranks: what the tokenizer calls a token that ends a piece is then one that
+    ends with the mark, the merge of a last byte with its mark comes before all
+    others, as the ids have it, and nothing needs to be remembered, however rich
+    the vocabulary. Other texts go through the tokenizer itself, and so do all
+    where the file's merges are not in the order of its ids. Long texts are cut
+    at spaces, where no token goes on.
     """
 
     def __init__(self, tokenizer_file: str, dtype: str, part: int = 1 << 20):
@@ -69,10 +91,10 @@ class WordEncoder:
             for token, number in vocabulary.items():
                 body = token.removesuffix(suffix)
                 if all(c in byte_of for c in body):
-                    ranks[bytes(byte_of[c] for c in body) + (END.encode() if body != token else b"")] = number
+                    ranks[bytes(byte_of[c] for c in body) + (bytes([END]) if body != token else b"")] = number
             for byte in range(256):
                 ranks.setdefault(bytes([byte]), 1 << 20 | byte)  # needed, but never given out
-            self.ranked = tiktoken.Encoding("ranks", pat_str=rf"[^{END}\s]+{END}", mergeable_ranks=ranks,
+            self.ranked = tiktoken.Encoding("ranks", pat_str=rf"[^\x0{END}]+\x0{END}", mergeable_ranks=ranks,
                                             special_tokens={})
 
     def packed(self, ids: list[int]) -> bytes:
@@ -80,7 +102,7 @@ class WordEncoder:
 
     def _part(self, text: str) -> bytes:
         if self.ranked and not UNUSUAL.search(text):
-            return self.packed(self.ranked.encode_ordinary(PIECES.sub(f"\\g<0>{END}", text.lower())))
+            return self.packed(self.ranked.encode_ordinary(marked(text.lower())))
         text = text.encode("utf-8", "replace").decode("utf-8")
         return self.packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
@@ -95,6 +117,12 @@ class WordEncoder:
             yield b"".join(parts)
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(tokenizer_file: str, dtype: str) -> WordEncoder:
+    """The encoder of a Python worker: its later tasks need not read the file again."""
+    return WordEncoder(tokenizer_file, dtype)
+
+
 def tokenized(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: str, text_column: str,
               dtype: str) -> DataFrame:
     """(row, block, doc_id, n, ids): the ids of each whole text and ``end_id``, packed as ``dtype``.
@@ -104,7 +132,7 @@ def tokenized(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: str,
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = WordEncoder(tokenizer_file, dtype)
+        encoder = encoder_of(tokenizer_file, dtype)
         end = encoder.packed([end_id])
         for batch in batches:
             yield pd.Series([ids + end for ids in encoder(batch.tolist())], dtype=object)
