@@ -24,6 +24,8 @@ NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Texts of these characters are their own NFC form, and their letters, lower-cased, are a-z and the next line's.
 UNUSUAL = re.compile("[^\t-\r -~À-ÖØ-öø-įı-ſ]|<\\|")
+UNUSUAL_RUN = re.compile(f"(?:{UNUSUAL.pattern})+")
+NEAR = 256  # characters between unusual ones that are not worth a call of their own
 # In UTF-8, all their bytes from 128 on are of letters.
 SPACE, LETTER, DIGIT, OTHER = range(4)
 KINDS = bytes(SPACE if b in b"\t\n\v\f\r " else DIGIT if b in b"0123456789" else
@@ -59,14 +61,15 @@ def byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Token ids of whole texts, for word-level BPE.
 
-    Usual texts are lower-cased and cut into pieces here by the kinds of their
+    Usual text is lower-cased and cut into pieces here by the kinds of its
     bytes, all at once, with a mark behind each piece, and their ids found by
     ranks: what the tokenizer calls a token that ends a piece is then one that
     ends with the mark, the merge of a last byte with its mark comes before all
     others, as the ids have it, and nothing needs to be remembered, however rich
-    the vocabulary. Other texts go through the tokenizer itself, and so do all
-    where the file's merges are not in the order of its ids. Long texts are cut
-    at spaces, where no token goes on.
+    the vocabulary. Words with other characters, and what is near them, go
+    through the tokenizer itself, and so do all texts where the file's merges
+    are not in the order of its ids. Texts are cut at spaces, where no token
+    goes on.
     """
 
     def __init__(self, tokenizer_file: str, dtype: str, part: int = 1 << 20):
@@ -100,12 +103,30 @@ class WordEncoder:
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def _part(self, text: str) -> bytes:
-        if self.ranked and not UNUSUAL.search(text):
-            return self.packed(self.ranked.encode_ordinary(marked(text.lower())))
+    def _usual(self, text: str) -> bytes:
+        return self.packed(self.ranked.encode_ordinary(marked(text.lower())))
+
+    def _other(self, text: str) -> bytes:
         text = text.encode("utf-8", "replace").decode("utf-8")
         return self.packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
+    def _part(self, text: str) -> bytes:
+        if not self.ranked:
+            return self._other(text)
+        parts, at = [], 0
+        while found := UNUSUAL.search(text, at):
+            start, stop = max(text.rfind(" ", at, found.start()), at), found.end()
+            if start > at:
+                parts.append(self._usual(text[at:start]))
+            while near := UNUSUAL_RUN.search(text, stop, stop + NEAR):
+                stop = near.end()
+            stop = text.find(" ", stop)
+            at = len(text) if stop < 0 else stop
+            parts.append(self._other(text[start:at]))
+        if at < len(text):
+            parts.append(self._usual(text[at:]))
+        return b"".join(parts)
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
             parts, at = [], 0

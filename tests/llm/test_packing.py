@@ -17,6 +17,8 @@ tokenizers = pytest.importorskip("tokenizers")
 FILE = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 WHOLE, WORDS = tokenizers.Tokenizer.from_file(FILE), packing.WordEncoder(FILE, "<u4", part=40)
 
+LONG = packing.WordEncoder(FILE, "<u4")
+
 
 def whole(text):
     return WHOLE.encode(text, add_special_tokens=False).ids
@@ -57,6 +59,20 @@ def test_pieces_cost_less_than_by_the_pattern():
     assert least(packing.marked) < 0.7 * least(lambda t: PIECE.sub("\\g<0>\x01", t))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["usual it's words " * 20, "one ", " ", "—", "<|endoftext|>", "<", "|", "e\u0301 ", " \u0301",
+                                 "\u2028", "中文", "İ "])).map("".join))
+def test_few_unusual_words_leave_the_others_usual(text):
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in LONG([text])] == [whole(text)]
+
+
+def test_one_unusual_word_does_not_send_a_text_to_the_tokenizer(monkeypatch):
+    seen = []
+    monkeypatch.setattr(LONG, "_other", lambda text: seen.append(text) or b"")
+    list(LONG(["usual words " * 1000 + "a — b " + "usual words " * 1000]))
+    assert seen == [" —"]
+
+
 def test_a_worker_builds_one_encoder():
     assert packing.encoder_of(FILE, "<u2") is packing.encoder_of(FILE, "<u2")
 
