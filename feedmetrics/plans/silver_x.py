@@ -1,7 +1,8 @@
 """X bronze posts -> silver users, posts, tags and relations.
 
 As for HN: ``flatten`` types each JSON post once, ``seq`` is its position in
-the dataset.
+the dataset. Most posts come once: their tags and references are compared within
+the row, and only ids meet others to find out which posts come again.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feedmetrics.functions import casts, classify
 from feedmetrics.functions.ids import x_post_id, x_user_id
 from feedmetrics.functions.measures import ENGAGEMENT_FIELDS
-from feedmetrics.functions.text import clean_text
+from feedmetrics.functions.text import clean_text, squeeze
 from feedmetrics.functions.times import date_part_columns, iso_timestamp, part_columns, utc_text
 from feedmetrics.operators.dedup import keep_first
 from feedmetrics.operators.quality import conform
@@ -100,14 +101,31 @@ def users(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str)
     ), SILVER["users"])
 
 
+def delivered_again(flat: DataFrame) -> DataFrame:
+    """The ids of posts that come more than once. Nothing but ids is shuffled for it."""
+    return (flat.where(F.col("source_post_id").isNotNull()).groupBy("source_post_id")
+            .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("source_post_id"))
+
+
+def marked(flat: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows with ``again``: true for posts of these ids, else null."""
+    return flat.join(again.withColumn("again", F.lit(True)), "source_post_id", "left")
+
+
+def _raw_posts(flat: DataFrame) -> DataFrame:
+    return (flat.where(F.col("source_post_id").isNotNull())
+            .withColumn("post_type", classify.x_post_type(F.col("references.type")))
+            .select("seq", "source_post_id", "source_user_id", "username_raw", "post_type", "text_raw", "lang_raw",
+                    "source_raw", "created", *ENGAGEMENT_FIELDS))
+
+
 def posts(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
-    first = keep_first(
-        flat.where(F.col("source_post_id").isNotNull())
-        .withColumn("post_type", classify.x_post_type(F.col("references.type")))
-        .select("seq", "source_post_id", "source_user_id", "username_raw", "post_type", "text_raw", "lang_raw",
-                "source_raw", "created", *ENGAGEMENT_FIELDS),
-        ["source_post_id"], ["seq"]).withColumn("author_username", clean_text(F.col("username_raw")))
-    return conform(first.select(
+    return _posts(keep_first(_raw_posts(flat), ["source_post_id"], ["seq"]), data_date, ingest_date, processed_at)
+
+
+def _posts(first: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
+    named = first.withColumn("author_username", clean_text(F.col("username_raw")))
+    return conform(named.select(
         _post_id(), "source_post_id",
         x_user_id(F.col("source_user_id"), F.col("author_username")).alias("author_user_id"),
         "author_username", "post_type",
@@ -151,7 +169,68 @@ def post_relations(flat: DataFrame, data_date: str, ingest_date: str, processed_
     ), SILVER["post_relations"])
 
 
+def _by_created_day(rows: DataFrame, *columns: str | Column) -> DataFrame:
+    """A day's posts gathered for a write, before they get ids and become several rows: a post is one short row."""
+    parts = (column.alias(name) for name, column in part_columns(F.col("created")).items())
+    return rows.select("source_post_id", "created", *columns, *parts).hint("rebalance", "year", "month", "day")
+
+
+def _written(rows: DataFrame, table: str, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
+    return conform(rows.select("*", utc_text(F.col("created")).alias("created_at_utc"),
+                               *_lineage(data_date, ingest_date, processed_at)), SILVER[table])
+
+
+def _needs_unescape() -> Column:
+    """Whether a hashtag of the post may hold a character reference; Python resolves those, one row each."""
+    return F.coalesce(F.exists("hashtags", lambda entry: F.coalesce(entry.text, F.lit("")).contains("&")
+                               | F.coalesce(entry.alternative, F.lit("")).contains("&")), F.lit(False))
+
+
+def _own_tags(once: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
+    """post_tags of posts that come once, without character references: equal tags are found within the row."""
+
+    def cleaned(entry: Column) -> Column:
+        return F.coalesce(squeeze(entry.text), squeeze(entry.alternative))
+
+    def bare(tag: Column) -> Column:
+        return F.lower(F.when(tag.startswith("#"), squeeze(F.substr(tag, F.lit(2)))).otherwise(tag))
+
+    tags = F.array_distinct(F.array_compact(F.transform(F.transform("hashtags", cleaned), bare)))
+    rows = _by_created_day(once, tags.alias("tags")).withColumn("post_id", _post_id())
+    return _written(rows.withColumn("tag_type", F.lit("hashtag")).withColumn("tag", F.explode("tags")), "post_tags",
+                    data_date, ingest_date, processed_at)
+
+
+def _own_relations(once: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> DataFrame:
+    """post_relations of posts that come once: equal references are found within the row."""
+    # No relation type has a bar in it, so type and target can be told apart again.
+    links = F.array_distinct(F.array_compact(F.transform("references", lambda entry: F.concat(
+        classify.x_relation_type(entry.type), F.lit("|"), entry.target))))
+    rows = (_by_created_day(once, links.alias("links")).withColumn("post_id", _post_id())
+            .withColumn("link", F.explode("links")).withColumn("relation_type", F.substring_index("link", "|", 1)))
+    target = F.substr("link", F.length("relation_type") + 2)
+    return _written(rows.withColumn("related_source_post_id", target), "post_relations", data_date, ingest_date, processed_at)
+
+
+# Tables that come gathered by day, see lake.write_partitioned.
+DEALT = ("posts", "post_tags", "post_relations")
+
+
 def silver_tables(flat: DataFrame, data_date: str, ingest_date: str, processed_at: str) -> dict[str, DataFrame]:
+    """The four tables, the largest shuffles first. Without the column of ``marked``, all posts come once."""
     run = (data_date, ingest_date, processed_at)
-    return {"users": users(flat, *run), "posts": posts(flat, *run),
-            "post_tags": post_tags(flat, *run), "post_relations": post_relations(flat, *run)}
+    again = F.coalesce("again", F.lit(False)) if "again" in flat.columns else F.lit(False)
+    known = flat.where(F.col("source_post_id").isNotNull())
+    first = _raw_posts(known.where(~again))
+    odd = known.where(again | _needs_unescape())
+    tags = _own_tags(known.where(~again & ~_needs_unescape()), *run)
+    relations = _own_relations(known.where(~again), *run)
+    if "again" in flat.columns:
+        more = known.where(again)
+        first = first.unionByName(keep_first(_raw_posts(more), ["source_post_id"], ["seq"]))
+        relations = relations.unionByName(post_relations(more, *run).hint("rebalance", "year", "month", "day"))
+    if not odd.isEmpty():
+        tags = tags.unionByName(post_tags(odd, *run).hint("rebalance", "year", "month", "day"))
+    columns = [name for name in first.columns if name not in ("seq", "source_post_id", "created")]
+    return {"post_tags": tags, "posts": _posts(_by_created_day(first, *columns), *run), "post_relations": relations,
+            "users": users(flat, *run)}

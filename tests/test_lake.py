@@ -420,3 +420,59 @@ def test_hn_lines_of_all_types_are_written_unsorted(spark, tmp_path, monkeypatch
     assert seen == [len(HN_ITEM_TYPES) + 1] and spark.conf.get(name) == before
     read = bronze.read_hn(spark, str(tmp_path), "2026-05-21", "2026-05-20")
     assert read.groupBy("item_type").count().collect() and read.count() == 50
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    """They stayed until the driver collected garbage, all tables' at once."""
+    def shuffled():
+        # One file of a shuffle holds all partitions of a map task; a removal is asked for, not awaited.
+        files = spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles())
+        return {f.getPath() for f in files if "shuffle_" in f.getName()}
+
+    import time
+    before = shuffled()
+    rows = conform(spark.range(2000).select(F.sha1(F.col("id").cast("string")).alias("post_id"), F.lit(X).alias("platform"),
+                                            F.lit("2026").alias("year"), F.lit("05").alias("month"),
+                                            F.lpad((F.col("id") % 9 + 1).cast("string"), 2, "0").alias("day")), SILVER["posts"])
+    assert lake.write_silver(spark, {"posts": rows, "post_tags": rows}, str(tmp_path))["posts"]["partitions_written"] == 9
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert lake.read_silver(spark, str(tmp_path), "posts", X).count() == 2000
+
+
+def test_silver_tables_are_written_one_after_the_other(spark, tmp_path, monkeypatch):
+    """So the disks hold one table's shuffle at a time."""
+    import threading
+
+    running, most, write, lock = [], [], lake.write_partitioned, threading.Lock()
+
+    def slow(*args, **kwargs):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        try:
+            return write(*args, **kwargs)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(lake, "write_partitioned", slow)
+    rows = spark.createDataFrame([("a", X, "2026", "05", "20")], "post_id string, platform string, year string, month string, day string")
+    lake.write_silver(spark, {name: conform(rows, SILVER[name]) for name in ("posts", "post_tags", "post_relations")}, str(tmp_path))
+    assert most == [1, 1, 1]
+
+
+def test_landed_orders_are_packed_in_files_of_few_rows(spark, monkeypatch):
+    """As plain text they were six times the input."""
+    from feedmetrics.queries import lake as lake_queries
+
+    monkeypatch.setattr(jobs, "x_silver", lambda *args: None)
+    root = lake_queries._x_silver(spark, "/root/testdata/sf0.001")
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "part-*").load(f"{root}/bronze").select("path", "length").collect()
+    assert parts and all(row.path.endswith(".json.gz") for row in parts)
+    rows = bronze.read_x(spark, f"{root}/bronze", "2024-02-01", "orders")
+    assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
