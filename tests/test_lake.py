@@ -476,3 +476,32 @@ def test_landed_orders_are_packed_in_files_of_few_rows(spark, monkeypatch):
     assert parts and all(row.path.endswith(".json.gz") for row in parts)
     rows = bronze.read_x(spark, f"{root}/bronze", "2024-02-01", "orders")
     assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+
+
+def test_feeds_of_a_load_are_dealt_before_they_get_ids(spark):
+    """All tables of a load went through the shuffle of their write with ids of 36 characters; the rows are the same."""
+    from feedmetrics.queries import feeds
+
+    def totals(rows):
+        return rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()
+
+    sf = "/root/testdata/sf0.001"
+    dealt = {**feeds.x_silver(spark, sf, feeds.month_text, dealt=True), "hn_posts": feeds.hn_posts(spark, sf, dealt=True),
+             "hn_users": feeds.hn_users(spark, sf, dealt=True)}
+    plain = {**feeds.x_silver(spark, sf, feeds.month_text), "hn_posts": feeds.hn_posts(spark, sf), "hn_users": feeds.hn_users(spark, sf)}
+    for name, rows in dealt.items():
+        behind, before = rows._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+        assert "sha1" in behind and "sha1" not in before, name
+        assert totals(rows) == totals(plain[name]), name
+
+
+def test_silver_is_packed_by_the_codec_asked_for(spark, tmp_path):
+    """Ids of random hexadecimal characters: snappy leaves them as they are."""
+    rows = conform(spark.range(20000).select(F.sha1(F.col("id").cast("string")).alias("post_id"), F.lit(X).alias("platform"), F.lit("2026").alias("year"),
+                                             F.lit("05").alias("month"), F.lit("20").alias("day")), SILVER["posts"])
+    sizes = {}
+    for codec in ("snappy", "zstd"):
+        lake.write_silver(spark, {"posts": rows}, f"{tmp_path}/{codec}", compression=codec)
+        sizes[codec] = sum(f.stat().st_size for f in (tmp_path / codec).rglob(f"*.{codec}.parquet"))
+    lake.write_silver(spark, {"posts": rows}, f"{tmp_path}/default")
+    assert list((tmp_path / "default").rglob("*.snappy.parquet")) and 0 < sizes["zstd"] < 0.75 * sizes["snappy"]
